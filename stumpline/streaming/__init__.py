@@ -1,0 +1 @@
+"""The feature set covered by this library is batch only, so no stream is defined here."""
