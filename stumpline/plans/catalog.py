@@ -2,6 +2,7 @@
 
 from stumpline.plans import (  # noqa: F401
     queries_delivery,
+    queries_players,
 )
 from stumpline.plans.registry import QUERIES
 
