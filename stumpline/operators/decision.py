@@ -268,46 +268,39 @@ def transition_counts(trans: DataFrame) -> DataFrame:
 
 
 def batch_q_iteration(
-    counts: DataFrame,
-    gamma: float = 0.85,
-    alpha: float = 0.15,
-    sweeps: int = 100,
-    tolerance: float = 1e-4,
-    cut_every: int = 10,
+    counts: DataFrame, gamma: float = 0.85, alpha: float = 0.15, sweeps: int = 100, tolerance: float = 1e-4
 ) -> DataFrame:
     """Q(s, a) += alpha (r + gamma max Q(s', .) - Q(s, a)), all pairs at once per sweep.
 
-    The log is folded once; sweeps only touch the folded table, whose states are bounded by
-    MAX_STATE_KEYS, and stop early when no value moves by more than ``tolerance``. The lineage is
-    cut every ``cut_every`` sweeps.
+    The log is folded once and stays on the executors. Between sweeps only the value of each state
+    travels: state keys are bounded by MAX_STATE_KEYS, and that is checked. Stops early when no
+    value moves by more than ``tolerance``.
     """
-    ensure_checkpoint_dir(counts.sparkSession)
+    spark = counts.sparkSession
+    ensure_checkpoint_dir(spark)
     log = counts.checkpoint()
-    q = log.groupBy("state_key", "action").agg(F.lit(0.0).alias("q"))
-    for sweep in range(1, sweeps + 1):
-        best = q.groupBy(F.col("state_key").alias("next_state_key")).agg(F.max("q").alias("_v"))
-        step = (
-            log.join(F.broadcast(best), "next_state_key", "left")
+    pairs = log.select("state_key", "action").distinct().limit(MAX_STATE_KEYS * len(ACTIONS) + 1).collect()
+    if len(pairs) > MAX_STATE_KEYS * len(ACTIONS):
+        raise ValueError("state keys are not discretised")
+    q = {(r[0], r[1]): 0.0 for r in pairs}
+    for _ in range(sweeps):
+        best: dict[str, float] = {}
+        for (state, _action), value in q.items():
+            best[state] = max(value, best.get(state, value))
+        values = F.broadcast(spark.createDataFrame(list(best.items()), "next_state_key string, v double"))
+        gain = F.col("reward_sum") + F.col("n") * gamma * F.coalesce("v", F.lit(0.0))
+        goals = (
+            log.join(values, "next_state_key", "left")
             .groupBy("state_key", "action")
-            .agg(
-                (
-                    F.sum(F.col("reward_sum") + F.col("n") * gamma * F.coalesce("_v", F.lit(0.0)))
-                    / F.sum("n")
-                ).alias("_goal")
-            )
+            .agg((F.sum(gain) / F.sum("n")).alias("goal"))
+            .collect()
         )
-        moved = q.join(F.broadcast(step), ["state_key", "action"]).withColumn(
-            "_new", F.col("q") + (F.col("_goal") - F.col("q")) * alpha
-        )
-        if sweep % cut_every == 0 or sweep == sweeps:
-            moved = moved.checkpoint()
-            gap = moved.agg(F.max(F.abs(F.col("_new") - F.col("q")))).first()[0]
-            q = moved.select("state_key", "action", F.col("_new").alias("q"))
-            if gap is None or gap <= tolerance:
-                break
-        else:
-            q = moved.select("state_key", "action", F.col("_new").alias("q"))
-    return q
+        moves = {(r[0], r[1]): alpha * (r[2] - q[r[0], r[1]]) for r in goals}
+        for key, move in moves.items():
+            q[key] += move
+        if max(map(abs, moves.values()), default=0.0) <= tolerance:
+            break
+    return spark.createDataFrame([(*k, v) for k, v in q.items()], "state_key string, action int, q double")
 
 
 def policy(q: DataFrame) -> DataFrame:

@@ -257,9 +257,12 @@ def _(spark, folder):
 # --- fitted clusters ------------------------------------------------------------------------------
 
 
+F12 = F64[:12]  # as many features as a player profile has
+
+
 def _fit(spark, folder, k=4):
-    df, names = bridge.vectors(spark, folder)
-    return cl.fit_clusters(df.drop("cluster"), names, k=k)
+    df, _ = bridge.vectors(spark, folder)
+    return cl.fit_clusters(df.select("player", *F12), F12, k=k)
 
 
 @query("pca_scores", "player:s pc1:d pc2:d pc3:d")
@@ -286,9 +289,9 @@ def _(spark, folder):
 
 @query("sweep_k", "k:i silhouette:d inertia:d is_best:b")
 def _(spark, folder):
-    df, names = bridge.vectors(spark, folder)
-    z = cl.standardise(df, names)
-    projection = cl.fit_pca(z, names)
+    df, _ = bridge.vectors(spark, folder)
+    z = cl.standardise(df.select("player", *F12), F12)
+    projection = cl.fit_pca(z, F12)
     return cl.sweep_k(projection.apply(z), projection.axes)
 
 
