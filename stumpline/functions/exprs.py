@@ -12,9 +12,14 @@ def as_int(col: Column, default: int) -> Column:
 
 
 def title_case(col: Column) -> Column:
-    """Trimmed text with a capital after every non-letter, not only after spaces."""
-    pieces = F.split(F.lower(F.trim(col)), r"(?<=[^\p{L}])|(?=[^\p{L}])")
-    return F.array_join(F.transform(pieces, F.initcap), "")
+    """Trimmed text with a capital after every non-letter, not only after spaces.
+
+    Only names with a letter right after a mark or digit need the split.
+    """
+    text = F.trim(col)
+    pieces = F.split(F.lower(text), r"(?<=[^\p{L}])|(?=[^\p{L}])")
+    marked = F.rlike(text, F.lit(r"[^\p{L} ]\p{L}"))
+    return F.when(marked, F.array_join(F.transform(pieces, F.initcap), "")).otherwise(F.initcap(text))
 
 
 def at_least(col: Column, floor: float) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stumpline.functions.scan import Running, Total, scan
+from stumpline.functions.scan import Running, Total, hot_groups, scan
 
 
 def exact_quantiles(
@@ -20,7 +20,9 @@ def exact_quantiles(
     counts = (
         df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c"))
     )
-    ranked = scan(counts, list(by), [value], _upto=Running(F.col("_c")), _all=Total(F.col("_c")))
+    # Rows bound the distinct values, and counting them needs none of the value's columns.
+    hot = hot_groups(df, list(by))
+    ranked = scan(counts, list(by), [value], hot, _upto=Running(F.col("_c")), _all=Total(F.col("_c")))
 
     def at(rank: Column) -> Column:
         inside = (F.col("_upto") >= rank) & (F.col("_upto") - F.col("_c") < rank)

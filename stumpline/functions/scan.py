@@ -81,12 +81,14 @@ def hot_rows_limit(df: DataFrame) -> int:
 def hot_groups(df: DataFrame, keys: Sequence[str]) -> list[tuple]:
     """Keys (with row counts last) of groups too large for one task; at most MAX_HOT_GROUPS.
 
-    One partially aggregated count over the key columns. The answer only steers
-    the physical route, never the result, so it is remembered per plan.
+    One partially aggregated count over the key columns; everything else is pruned. The answer only
+    steers the physical route, never the result, so it is remembered per optimised plan, and the
+    list of a larger table may be passed on to tables derived from it.
     """
     limit = hot_rows_limit(df)
     narrow = df.select(*keys) if keys else df.select(F.lit(1).alias("_one"))
-    memo = (df.sparkSession.sparkContext.applicationId, narrow.semanticHash(), tuple(keys), limit)
+    plan = narrow._jdf.queryExecution().optimizedPlan().semanticHash()
+    memo = (df.sparkSession.sparkContext.applicationId, plan, tuple(keys), limit)
     if memo not in _hot_memo:
         counts = narrow.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
         _hot_memo[memo] = [tuple(r) for r in counts.orderBy(F.desc("_n")).limit(MAX_HOT_GROUPS).collect()]
@@ -246,13 +248,17 @@ def _sliced(df: DataFrame, keys: Sequence[str], order: Sequence, ops: dict[str,
     return joined.select(*final)
 
 
-def scan(df: DataFrame, keys: Sequence[str], order: Sequence, **ops: Op) -> DataFrame:
+def scan(
+    df: DataFrame, keys: Sequence[str], order: Sequence, hot: list[tuple] | None = None, **ops: Op
+) -> DataFrame:
     """Add one column per op, computed per ``keys`` group in ``order``.
 
     ``order`` has to identify a row within its group, or the result of ties is arbitrary.
-    Values of sums are expected to be non-null.
+    Values of sums are expected to be non-null. ``hot`` passes a list ``hot_groups`` has already
+    found for these keys.
     """
-    hot = hot_groups(df, keys)
+    if hot is None:
+        hot = hot_groups(df, keys)
     if not hot:
         return _plain(df, keys, order, ops)
     rows = sum(h[-1] for h in hot)
@@ -264,9 +270,12 @@ def scan(df: DataFrame, keys: Sequence[str], order: Sequence, **ops: Op) -> Data
     return cold.unionByName(heavy)
 
 
-def lookup(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+def lookup(
+    df: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "left", hot: list[tuple] | None = None
+) -> DataFrame:
     """Join ``other`` (unique on ``keys``) to ``df``, spreading hot keys over salts."""
-    hot = hot_groups(df, keys)
+    if hot is None:
+        hot = hot_groups(df, keys)
     if not hot:
         return df.join(other, list(keys), how)
     salts = max(2, -(-max(h[-1] for h in hot) // hot_rows_limit(df)))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stumpline.functions.exprs import flag_sum, title_case
-from stumpline.functions.scan import Running, scan
+from stumpline.functions.scan import Running, hot_groups, scan
 
 EVENT_KEY = ("match_id", "innings", "over", "ball", "batting_team", "bowler")
 CRITICAL = ("match_id", "innings", "over", "striker", "bowler")
@@ -50,13 +50,15 @@ def arrival_order(df: DataFrame) -> list[str]:
     return placed or ["over", "ball", *[c for c in df.columns if c not in ("over", "ball")]]
 
 
-def cap_wickets(df: DataFrame, limit: int = MAX_WICKETS, flag: str | None = None) -> DataFrame:
+def cap_wickets(
+    df: DataFrame, limit: int = MAX_WICKETS, flag: str | None = None, hot: list[tuple] | None = None
+) -> DataFrame:
     """Zero the wicket on rows where the innings has already passed ``limit``.
 
     Rows without a match or innings have no running count and stay as they are.
     """
     run = scan(
-        df, ["match_id", "innings"], arrival_order(df), _run=Running(F.coalesce("wickets", F.lit(0)))
+        df, ["match_id", "innings"], arrival_order(df), hot, _run=Running(F.coalesce("wickets", F.lit(0)))
     )
     over = F.col("match_id").isNotNull() & F.col("innings").isNotNull() & (F.col("_run") > limit)
     out = run.withColumn("_bad", over).withColumn(
@@ -103,8 +105,10 @@ def fill_and_standardise_names(df: DataFrame) -> DataFrame:
 
 def clean_events(df: DataFrame) -> DataFrame:
     """All rules, in order."""
+    # Sized before the dedup, which only removes rows, so that the check does not repeat it.
+    hot = hot_groups(df, ["match_id", "innings"])
     out = filter_over_range(dedup_events(df))
-    out = reconcile_extras(reconcile_runs(cap_wickets(out)))
+    out = reconcile_extras(reconcile_runs(cap_wickets(out, hot=hot)))
     return fill_and_standardise_names(drop_missing_critical(out))
 
 
@@ -114,7 +118,7 @@ def cleaning_audit(df: DataFrame) -> DataFrame:
     ranged = kept.withColumn("_bad_over", F.coalesce(~over_in_range(), F.lit(True)))
     # Rows outside the over range must not add to the running wickets.
     safe = ranged.withColumn("wickets", F.when(F.col("_bad_over"), 0).otherwise(F.col("wickets")))
-    flagged = cap_wickets(safe, flag="_bad_wicket")
+    flagged = cap_wickets(safe, flag="_bad_wicket", hot=hot_groups(df, ["match_id", "innings"]))
     valid = ~F.col("_bad_over")
     missing = F.lit(False)
     for c in CRITICAL:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from stumpline.functions.exprs import boundary_ball, clip, flag_sum
 from stumpline.functions.quantiles import with_scalars
-from stumpline.functions.scan import Lag, RowNumber, Running, Total, Trailing, scan
+from stumpline.functions.scan import Lag, RowNumber, Running, Total, Trailing, hot_groups, scan
 from stumpline.operators.state import INNINGS, delivery_order
 from stumpline.session import ensure_checkpoint_dir
 
@@ -33,12 +33,13 @@ MAX_STATE_KEYS = 3**7
 MAX_REQUESTS = 1_000
 
 
-def state_vector_14d(state: DataFrame) -> DataFrame:
-    """The fourteen state dimensions of every delivery."""
+def state_vector_14d(state: DataFrame, hot: list[tuple] | None = None) -> DataFrame:
+    """The fourteen state dimensions of every delivery. ``hot`` passes known oversized innings."""
     df = scan(
         state,
         INNINGS,
         delivery_order(state),
+        hot,
         _runs6=Trailing(F.coalesce("runs", F.lit(0)), 6),
         _wickets6=Trailing(F.coalesce("wickets", F.lit(0)), 6),
         _fours18=Trailing(boundary_ball().cast("int"), 18),
@@ -197,7 +198,7 @@ def binary_metrics(df: DataFrame, label: str, score: str, threshold: float = 0.5
     """
     pos = F.col(label) == 1
     per = df.groupBy(score).agg(flag_sum(pos).alias("_p"), flag_sum(~pos).alias("_n"))
-    ranked = scan(per, [], [score], _neg=Running(F.col("_n")))
+    ranked = scan(per, [], [score], hot_groups(df, []), _neg=Running(F.col("_n")))
     guess = F.col(score) >= threshold
     area = F.sum(F.col("_p") * (F.col("_neg") - F.col("_n") + F.col("_n") / 2.0))
     counts = ranked.agg(
@@ -227,7 +228,7 @@ def binary_metrics(df: DataFrame, label: str, score: str, threshold: float = 0.5
 # --- transitions and policy ----------------------------------------------------------------------
 
 
-def transitions(states: DataFrame, action: Column | None = None) -> DataFrame:
+def transitions(states: DataFrame, action: Column | None = None, hot: list[tuple] | None = None) -> DataFrame:
     """(state, next state, reward) per innings, all but its last seven deliveries.
 
     The reward compares the mean six-ball runs with the mean required rate over the delivery and
@@ -240,6 +241,7 @@ def transitions(states: DataFrame, action: Column | None = None) -> DataFrame:
         states,
         INNINGS,
         order,
+        hot,
         _rn=RowNumber(),
         _all=Total(F.lit(1)),
         _runs=Trailing(F.col("s8_runs_last_6_balls"), 6),
@@ -571,14 +573,16 @@ def recommend(
 # --- evaluation -----------------------------------------------------------------------------------
 
 
-def counterfactual(states: DataFrame, pol: DataFrame, overs: int = 2) -> DataFrame:
+def counterfactual(
+    states: DataFrame, pol: DataFrame, overs: int = 2, hot: list[tuple] | None = None
+) -> DataFrame:
     """Per innings of 12 or more deliveries: first over the policy would act in, against the middle.
 
     Deliveries are folded to overs before the comparison, so it looks at 50 rows per innings at most.
     """
     sub = F.broadcast(pol.select("state_key", (F.col("action") > 0).alias("_acts")))  # <= MAX_STATE_KEYS
     placed = scan(
-        states, INNINGS, delivery_order(states), _rn=RowNumber(), _all=Total(F.lit(1))
+        states, INNINGS, delivery_order(states), hot, _rn=RowNumber(), _all=Total(F.lit(1))
     ).join(sub, "state_key", "left")
     acts = F.coalesce("_acts", F.lit(False)) & (F.col("_rn") < F.col("_all"))
     per = placed.groupBy(*INNINGS, "over").agg(

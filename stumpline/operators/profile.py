@@ -36,7 +36,7 @@ def is_spin_by_name(bowler: Column) -> Column:
     return F.when(F.length(bowler) > 0, F.substring(bowler, -1, 1).isin("a", "e", "i", "o", "u"))
 
 
-def boundary_over_response(df: DataFrame) -> DataFrame:
+def boundary_over_response(df: DataFrame, hot: list[tuple] | None = None) -> DataFrame:
     """Runs and legal balls a striker faced right after a ball from an over with a boundary.
 
     "After" follows the striker's own deliveries. Within one over every ball but the first follows
@@ -55,7 +55,7 @@ def boundary_over_response(df: DataFrame) -> DataFrame:
             F.struct(*order),
         ).alias("_first"),
     )
-    seen = scan(per_over, ["striker"], [*INNINGS, "over"], _before=Lag(F.col("_had")))
+    seen = scan(per_over, ["striker"], [*INNINGS, "over"], hot, _before=Lag(F.col("_had")))
     first, before = F.col("_first"), F.coalesce("_before", F.lit(False))
 
     def after(total: str, part: str) -> Column:
@@ -68,10 +68,16 @@ def boundary_over_response(df: DataFrame) -> DataFrame:
 
 
 def pressure_profile(
-    state: DataFrame, min_balls: int = 10, bowler_types: DataFrame | None = None
+    state: DataFrame,
+    min_balls: int = 10,
+    bowler_types: DataFrame | None = None,
+    hot: list[tuple] | None = None,
+    hot_strikers: list[tuple] | None = None,
 ) -> DataFrame:
     """The twelve features plus appearances, balls, runs and overall rate, per striker.
 
+    ``hot`` and ``hot_strikers`` pass known lists of oversized innings and strikers.
+
     ``bowler_types(bowler, is_spin)`` replaces the name heuristic when given.
     """
     c = F.col
@@ -82,10 +88,10 @@ def pressure_profile(
     else:
         spin = is_spin_by_name(c("bowler"))
     df = scan(
-        df, INNINGS, delivery_order(df), _recent_wickets=Trailing(F.coalesce("wickets", F.lit(0)), 6)
+        df, INNINGS, delivery_order(df), hot, _recent_wickets=Trailing(F.coalesce("wickets", F.lit(0)), 6)
     )
     df = scan(
-        df, ["striker"], [*INNINGS, *delivery_order(df)], _after_dot=Lag(dot_ball())
+        df, ["striker"], [*INNINGS, *delivery_order(df)], hot_strikers, _after_dot=Lag(dot_ball())
     )
     legal, bat = legal_ball(), c("runs_off_bat")
     death = c("over") >= 16
@@ -119,7 +125,7 @@ def pressure_profile(
         sr(F.coalesce(spin, F.lit(False))).alias("spin_pressure_sr"),
         sr(F.coalesce(~spin, F.lit(False))).alias("pace_pressure_sr"),
     )
-    shift = boundary_over_response(df.select(state.columns))
+    shift = boundary_over_response(state.dropna(subset=["striker"]), hot_strikers)
     return (
         per.filter(c("total_balls_faced") >= min_balls)
         .join(shift, "striker", "left")

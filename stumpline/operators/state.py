@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stumpline.functions.exprs import boundary_ball, clip, dot_ball
-from stumpline.functions.scan import RowNumber, Running, Since, Total, Trailing, lookup, scan
+from stumpline.functions.scan import RowNumber, Running, Since, Total, Trailing, hot_groups, lookup, scan
 
 INNINGS = ("match_id", "innings")
 RECENT = 12
@@ -39,7 +39,7 @@ def innings_target(df: DataFrame) -> DataFrame:
     return totals.select(*INNINGS, first.alias("inning1_total"))
 
 
-def running_state(df: DataFrame) -> DataFrame:
+def running_state(df: DataFrame, hot: list[tuple] | None = None) -> DataFrame:
     """Running totals, ball ordinals, partnership and recent-window sums of every delivery."""
     runs, wickets = F.coalesce("runs", F.lit(0)), F.coalesce("wickets", F.lit(0))
     one = F.lit(1)
@@ -48,6 +48,7 @@ def running_state(df: DataFrame) -> DataFrame:
         flagged,
         INNINGS,
         delivery_order(df),
+        hot,
         total_runs=Running(runs),
         total_wickets=Running(wickets),
         ball_number=RowNumber(),
@@ -74,7 +75,8 @@ def event_state(df: DataFrame, leakage: str = "reference", keep_working: bool =
     if leakage not in ("reference", "causal"):
         raise ValueError("leakage is 'reference' or 'causal'")
     causal = leakage == "causal"
-    run = lookup(running_state(df), innings_target(df), INNINGS)
+    hot = hot_groups(df, INNINGS)
+    run = lookup(running_state(df, hot), innings_target(df), INNINGS, hot=hot)
     col = F.col
     chase = col("innings") == 2
     rrr0 = F.coalesce("required_run_rate", F.lit(0.0))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from stumpline.functions.numeric import tie_sums
 from stumpline.functions.quantiles import exact_quantiles, with_scalars
-from stumpline.functions.scan import Running, Total, scan
+from stumpline.functions.scan import Running, Total, hot_groups, hot_rows_limit, scan
 
 
 def kaplan_meier(
@@ -27,12 +27,13 @@ def kaplan_meier(
         .groupBy(*by, duration)
         .agg(F.sum(F.col(event).cast("long")).alias("deaths"), F.count(F.lit(1)).alias("_left"))
     )
-    risk = scan(per, list(by), [duration], _gone=Running(F.col("_left")), _all=Total(F.col("_left"))).withColumn(
+    hot = hot_groups(df, list(by))
+    risk = scan(per, list(by), [duration], hot, _gone=Running(F.col("_left")), _all=Total(F.col("_left"))).withColumn(
         "at_risk", F.col("_all") - F.col("_gone") + F.col("_left")
     )
     all_die = F.col("deaths") == F.col("at_risk")
     factor = F.when(all_die, 0.0).otherwise(F.log(F.lit(1.0) - F.col("deaths") / F.col("at_risk")))
-    curve = scan(risk, list(by), [duration], _log=Running(factor), _zero=Running(all_die.cast("int")))
+    curve = scan(risk, list(by), [duration], hot, _log=Running(factor), _zero=Running(all_die.cast("int")))
     survival = F.when(F.col("_zero") > 0, 0.0).otherwise(F.exp("_log"))
     return curve.select(*by, F.col(duration).alias("duration"), "at_risk", "deaths", survival.alias("survival"))
 
@@ -92,7 +93,7 @@ def _pairs(p: int) -> list[tuple[int, int]]:
     return [(i, j) for i in range(p) for j in range(i, p)]
 
 
-def _risk_sums(df: DataFrame, p: int, beta: np.ndarray) -> DataFrame:
+def _risk_sums(df: DataFrame, p: int, beta: np.ndarray, hot: list[tuple]) -> DataFrame:
     """Per duration: sums over its rows and over its deaths of w, w x, w x x', then sums still at risk."""
     eta = F.lit(0.0)
     for i in range(p):
@@ -108,7 +109,7 @@ def _risk_sums(df: DataFrame, p: int, beta: np.ndarray) -> DataFrame:
     aggs.append(F.sum(F.col("e").cast("double")).alias("d"))
     per = rows.groupBy("t").agg(*aggs)
     ops = {f"r_{k}": Running(F.col(f"a_{k}")) for k in terms} | {f"t_{k}": Total(F.col(f"a_{k}")) for k in terms}
-    run = scan(per, [], ["t"], **ops)
+    run = scan(per, [], ["t"], hot, **ops)
     left = {k: F.col(f"t_{k}") - F.col(f"r_{k}") + F.col(f"a_{k}") for k in terms}
     return run.filter("d > 0").select(
         "d", *[v.alias(k) for k, v in left.items()], *[f"d_{k}" for k in terms], *[f"x_{i}" for i in range(p)]
@@ -185,13 +186,14 @@ def fit_cox(
     z = data.select(
         "t", "e", *[((F.col(f"x{i}") - float(mean[i])) / float(std[i])).alias(f"z{i}") for i in range(p)]
     ).cache()
+    hot = hot_groups(z.select("t").distinct(), [])
     beta, last = np.zeros(p), -np.inf
     info = np.eye(p)
     step = 0
     try:
         for step in range(1, max_iter + 1):
             run, names = _efron(p, beta)
-            sums = _risk_sums(z, p, beta).mapInPandas(run, ", ".join(f"{c} double" for c in names))
+            sums = _risk_sums(z, p, beta, hot).mapInPandas(run, ", ".join(f"{c} double" for c in names))
             row = sums.agg(*[F.sum(c).alias(c) for c in names]).first()
             grad = np.array([row[f"g{i}"] for i in range(p)]) / n - penalizer * beta
             info = np.zeros((p, p))
@@ -237,18 +239,22 @@ def concordance_index(df: DataFrame, duration: str, event: str, risk: str) -> Da
         .groupBy("t", "censored", "score")
         .agg(F.count(F.lit(1)).alias("c"))
     )
-    ranks = scan(fold.select("score").distinct(), [], ["score"], r=Running(F.lit(1)))
+    hot = hot_groups(df, [])
+    ranks = scan(fold.select("score").distinct(), [], ["score"], hot, r=Running(F.lit(1)))
     rows = fold.join(ranks, "score")
     died = F.when(F.col("censored") == 0, F.col("c")).otherwise(0)
     later = lambda total, upto: F.col(total) - F.col(upto)
     place = ["t", "censored"]
 
-    overall = rows.groupBy(*place).agg(F.sum("c").alias("c"), F.sum(died).alias("e"))
-    pairs = scan(overall, [], place, _u=Running(F.col("c")), _a=Total(F.col("c"))).agg(
+    overall = fold.groupBy(*place).agg(F.sum("c").alias("c"), F.sum(died).alias("e"))
+    # Groups below hold one row per place, so few places leave no group too large.
+    few = overall.count() <= hot_rows_limit(df)
+    known: list[tuple] | None = [] if few else None
+    pairs = scan(overall, [], place, known, _u=Running(F.col("c")), _a=Total(F.col("c"))).agg(
         F.sum(F.col("e") * later("_a", "_u")).alias("pairs")
     )
     same = scan(
-        rows.withColumn("e", died), ["r"], place, _u=Running(F.col("c")), _a=Total(F.col("c"))
+        rows.withColumn("e", died), ["r"], place, known, _u=Running(F.col("c")), _a=Total(F.col("c"))
     ).agg(F.sum(F.col("e") * later("_a", "_u")).alias("tied"))
 
     bits = max(1, int(ranks.count()).bit_length())
@@ -262,7 +268,7 @@ def concordance_index(df: DataFrame, duration: str, event: str, risk: str) -> Da
         F.sum(F.when(F.col("one") == 1, F.col("c")).otherwise(0)).alias("high"),
         F.sum(F.when(F.col("one") == 0, died).otherwise(0)).alias("low_died"),
     )
-    right = scan(split, ["b", "head"], place, _u=Running(F.col("high")), _a=Total(F.col("high"))).agg(
+    right = scan(split, ["b", "head"], place, known, _u=Running(F.col("high")), _a=Total(F.col("high"))).agg(
         F.sum(F.col("low_died") * later("_a", "_u")).alias("concordant")
     )
     one = right.withColumns({"tied": same.select("tied").scalar(), "pairs": pairs.select("pairs").scalar()})

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stumpline.functions.exprs import flag_sum
 from stumpline.functions.quantiles import exact_quantiles, with_scalars
-from stumpline.functions.scan import RowNumber, Total, scan
+from stumpline.functions.scan import RowNumber, Total, hot_groups, scan
 
 CRORE = 1e7
 PLATFORM_USERS = 190_000_000
@@ -196,7 +196,12 @@ def clv_quartile(users: DataFrame, value: str = "predicted_clv", key: str = "use
     """
     pair = F.struct(F.col(value).alias("v"), F.col(key).alias("k"))
     ranked = scan(
-        users.filter(F.col(value).isNotNull()).select(value, key), [], [value, key], _r=RowNumber(), _n=Total(F.lit(1))
+        users.filter(F.col(value).isNotNull()).select(value, key),
+        [],
+        [value, key],
+        hot_groups(users, []),
+        _r=RowNumber(),
+        _n=Total(F.lit(1)),
     )
     edge = lambda q: F.max(F.when(F.col("_r") <= F.lit(1) + (F.col("_n") - 1) * q, pair))
     edges = ranked.agg(edge(0.25).alias("_e1"), edge(0.5).alias("_e2"), edge(0.75).alias("_e3"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stumpline.operators import decision as de
 from stumpline.plans import bridge
-from stumpline.plans.queries_delivery import context, legacy, states
+from stumpline.plans.queries_delivery import big_innings, context, legacy, states
 from stumpline.plans.registry import cte, query
 from stumpline.sources import store
 
@@ -35,7 +35,7 @@ KEY = "match_id:s innings:i over:i ball:i seq:l "
 
 
 def vectors(spark: SparkSession, folder: str) -> DataFrame:
-    return de.state_vector_14d(states(spark, folder))
+    return de.state_vector_14d(states(spark, folder), big_innings(spark, folder))
 
 
 def keyed(spark: SparkSession, folder: str) -> DataFrame:
@@ -131,7 +131,7 @@ cte("tr", "tr0", "SELECT *, CASE WHEN m4 <= 0 THEN 0.5 ELSE LEAST(GREATEST(m8 /
 
 
 def logged(spark: SparkSession, folder: str) -> DataFrame:
-    return de.transitions(keyed(spark, folder), action=F.col("seq") % 3)
+    return de.transitions(keyed(spark, folder), action=F.col("seq") % 3, hot=big_innings(spark, folder))
 
 
 query(
@@ -323,7 +323,7 @@ cte("cf", "cf2", "SELECT *, runs_after_opt - runs_after_actual AS expected_uplif
 
 
 def cases(spark: SparkSession, folder: str) -> DataFrame:
-    return de.counterfactual(keyed(spark, folder), mean_policy(spark, folder))
+    return de.counterfactual(keyed(spark, folder), mean_policy(spark, folder), hot=big_innings(spark, folder))
 
 
 query(

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stumpline.functions.scan import hot_groups
 from stumpline.operators import clusters as cl
 from stumpline.operators import profile as pr
 from stumpline.operators import selection as sel
 from stumpline.plans import bridge
-from stumpline.plans.queries_delivery import context, legacy, states
+from stumpline.plans.queries_delivery import big_innings, context, legacy, states
 from stumpline.plans.registry import cte, query
 from stumpline.sources import store
 
@@ -50,7 +51,10 @@ HEAD = "player:s appearances:l total_balls_faced:l total_runs:l "
 
 
 def profiles(spark: SparkSession, folder: str) -> DataFrame:
-    return pr.pressure_profile(states(spark, folder))
+    strikers = hot_groups(bridge.deliveries(spark, folder), ["striker"])
+    return pr.pressure_profile(
+        states(spark, folder), hot=big_innings(spark, folder), hot_strikers=strikers
+    )
 
 
 query("pressure_profile", HEAD + " ".join(f"{f}:d" for f in pr.PROFILE_FEATURES) + " overall_sr:d", "SELECT * FROM prof", "prof")(profiles)
