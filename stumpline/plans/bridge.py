@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stumpline.functions.scan import Since, scan
-from stumpline.session import ensure_checkpoint_dir
+from stumpline.session import shared_folder as _shared
 
 # The same text serves Spark SQL and DuckDB; {div} is the integer division of the engine and
 # {sec} the whole seconds since the start of 2024.
@@ -184,6 +184,4 @@ def vectors(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str]]:
 
 def shared_folder(spark: SparkSession) -> str:
     """A fresh folder below the cluster's shared checkpoint folder."""
-    ensure_checkpoint_dir(spark)
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return f"{base.rstrip('/')}/tables-{uuid.uuid4().hex}"
+    return f"{_shared(spark)}/tables-{uuid.uuid4().hex}"

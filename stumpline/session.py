@@ -6,6 +6,8 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+_local_folders: dict[str, str] = {}
+
 
 def local_session(cores: str = "8", app: str = "stumpline") -> SparkSession:
     """Local session with the settings the tests and the bench use."""
@@ -23,13 +25,25 @@ def local_session(cores: str = "8", app: str = "stumpline") -> SparkSession:
     )
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared checkpoint folder; fall back to a local one when unset.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the driver and all executors share, named by ``spark.checkpoint.dir``.
 
-    The fallback only serves local runs: a cluster names its shared folder in
-    ``spark.checkpoint.dir``.
+    Where it is unset, a local master gets a temporary folder; any other master raises, because a
+    folder of one machine is not seen by the others.
     """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    sc = spark.sparkContext
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    if sc.applicationId not in _local_folders:
+        _local_folders[sc.applicationId] = tempfile.mkdtemp(prefix="stumpline-")
+    return _local_folders[sc.applicationId]
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Point ``checkpoint()`` at the shared folder."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="stumpline-ckpt-"))
+        sc.setCheckpointDir(shared_folder(spark))
