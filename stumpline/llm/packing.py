@@ -14,9 +14,12 @@ An empty table gives no rows.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
+from functools import cache
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -30,14 +33,25 @@ CAPACITY = 4096
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 #: Words whose ids a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
+
+
+#: Between an ASCII letter or digit and an ASCII sign other than the apostrophe, tokens never join.
+_SEAM = re.compile(rb"(?<=[A-Za-z0-9])(?=[!-&(-/:-@\[-`{-~])")
+
+
+def _pieces(text: bytes) -> list[bytes]:
+    """Parts of a text that are tokenised each by itself; ASCII texts are lower-cased as the tokenizer does."""
+    if b"<|" in text:  # may hold the name of a special token
+        return text.split()
+    return _SEAM.sub(b" ", text.lower() if text.isascii() else text).split()
 
 
 class WordIds:
-    """Token ids of texts, word by word.
+    """Token ids of texts, part by part.
 
-    The vocabulary never joins tokens across ASCII blanks, so a text's ids are those of its blank-separated
-    words, and a worker looks repeated words up instead of encoding them again.
+    The vocabulary never joins tokens across ASCII blanks nor at a seam, so a text's ids are those of its parts,
+    and a worker looks repeated parts up instead of encoding them again.
     """
 
     def __init__(self, path: str) -> None:
@@ -47,27 +61,47 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
 
+    def _learn(self, new: list[bytes]) -> None:
+        named = [(w, w.decode()) for w in new]
+        # A run of letters is one word to the tokenizer: many are encoded as one text and cut by word.
+        plain, other = [], []
+        for word, t in named:
+            (plain if normalize("NFC", t).lower().isalpha() else other).append((word, t))
+        for i in range(0, len(plain), 1_000):
+            part = plain[i : i + 1_000]
+            found = self.tokenizer.encode_batch([" ".join([t for _, t in part])], add_special_tokens=False)[0]
+            ids = np.array(found.ids, "<u4")
+            if found.word_ids[-1] + 1 != len(part):
+                other += part
+                continue
+            cut = np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(part) + 1)).tolist()
+            raw = ids.tobytes()
+            for (word, _), x, y in zip(part, cut[:-1], cut[1:], strict=True):
+                self.known[word] = raw[4 * x : 4 * y]
+        for i in range(0, len(other), 10_000):
+            part = other[i : i + 10_000]
+            for (word, _), e in zip(part, self.tokenizer.encode_batch_fast([t for _, t in part], add_special_tokens=False), strict=True):
+                self.known[word] = np.array(e.ids, "<u4").tobytes()
+
     def __call__(self, texts: list[bytes]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        split = [t.split() for t in texts]
+        split = [_pieces(t) for t in texts]
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        new = list(set().union(*split).difference(self.known))
-        for i in range(0, len(new), 10_000):
-            part = new[i : i + 10_000]
-            for word, e in zip(part, self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False), strict=True):
-                self.known[word] = np.array(e.ids, "<u4").tobytes()
+        self._learn(list(set().union(*split).difference(self.known)))
         known = self.known
         for words in split:
-            yield b"".join([known[w] for w in words])
+            yield b"".join(map(known.__getitem__, words))
 
 
-def _tokenizer_path(name: str) -> str:
-    if os.path.isabs(name):
-        return name
+@cache
+def word_ids(tokenizer: str) -> WordIds:
+    """One per worker process, so that its tasks share what was looked up."""
+    if os.path.isabs(tokenizer):
+        return WordIds(tokenizer)
     import public_tokenizers
 
-    return public_tokenizers.path(name)
+    return WordIds(public_tokenizers.path(tokenizer))
 
 
 def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY) -> DataFrame:
@@ -75,7 +109,7 @@ def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = WordIds(_tokenizer_path(tokenizer))
+        ids_of = word_ids(tokenizer)
         task, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
