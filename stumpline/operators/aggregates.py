@@ -181,10 +181,10 @@ def match_context(over_stats: DataFrame, rules: dict | None = None, overs: int =
     )
 
 
-def match_schedule(df: DataFrame, n: int = 74) -> DataFrame:
+def match_schedule(df: DataFrame, n: int | None = None) -> DataFrame:
     """First team, city and season per match, the first ``n`` matches by id."""
     order = ["innings", "over", "ball", *(["seq"] if "seq" in df.columns else [])]
-    return (
+    found = (
         df.dropna(subset=["match_id"])
         .groupBy("match_id")
         .agg(
@@ -193,9 +193,8 @@ def match_schedule(df: DataFrame, n: int = 74) -> DataFrame:
             first_of("season", order).alias("season"),
         )
         .withColumns({"team2": F.lit(""), "is_knockout": F.lit(False)})
-        .orderBy("match_id")
-        .limit(n)
     )
+    return found if n is None else found.orderBy("match_id").limit(n)
 
 
 def describe(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -14,7 +16,6 @@ from stumpline.functions.exprs import boundary_ball, clip, flag_sum
 from stumpline.functions.quantiles import with_scalars
 from stumpline.functions.scan import Lag, RowNumber, Running, Total, Trailing, hot_groups, scan
 from stumpline.operators.state import INNINGS, delivery_order
-from stumpline.session import ensure_checkpoint_dir
 
 # The fourteen state dimensions, in order.
 STATE_COLUMNS = (
@@ -269,40 +270,42 @@ def transition_counts(trans: DataFrame) -> DataFrame:
     )
 
 
-def batch_q_iteration(
-    counts: DataFrame, gamma: float = 0.85, alpha: float = 0.15, sweeps: int = 100, tolerance: float = 1e-4
-) -> DataFrame:
-    """Q(s, a) += alpha (r + gamma max Q(s', .) - Q(s, a)), all pairs at once per sweep.
+def batch_q_iteration(counts: DataFrame, gamma: float = 0.85, tolerance: float = 1e-8, sweeps: int = 1_000) -> DataFrame:
+    """The fixed point of Q(s, a) = mean of r + gamma max Q(s', .) over the logged transitions.
 
-    The log is folded once and stays on the executors. Between sweeps only the value of each state
-    travels: state keys are bounded by MAX_STATE_KEYS, and that is checked. Stops early when no
-    value moves by more than ``tolerance``.
+    The log is folded to one row per (state, action, next state); state keys are bounded by MAX_STATE_KEYS, which
+    is checked, so the folded table fits one task and all sweeps run there. A step size would not move the fixed
+    point, so full backups are made until no value is off its own backup by more than ``tolerance``; if ``sweeps``
+    do not suffice, the job fails. A next state that was never left has value 0.
     """
-    spark = counts.sparkSession
-    ensure_checkpoint_dir(spark)
-    log = counts.checkpoint()
-    pairs = log.select("state_key", "action").distinct().limit(MAX_STATE_KEYS * len(ACTIONS) + 1).collect()
-    if len(pairs) > MAX_STATE_KEYS * len(ACTIONS):
+    log = counts.groupBy("state_key", "action", "next_state_key").agg(F.sum("n").alias("n"), F.sum("reward_sum").alias("reward_sum"))
+    if counts.select("state_key").distinct().limit(MAX_STATE_KEYS + 1).count() > MAX_STATE_KEYS:
         raise ValueError("state keys are not discretised")
-    q = {(r[0], r[1]): 0.0 for r in pairs}
-    for _ in range(sweeps):
-        best: dict[str, float] = {}
-        for (state, _action), value in q.items():
-            best[state] = max(value, best.get(state, value))
-        values = F.broadcast(spark.createDataFrame(list(best.items()), "next_state_key string, v double"))
-        gain = F.col("reward_sum") + F.col("n") * gamma * F.coalesce("v", F.lit(0.0))
-        goals = (
-            log.join(values, "next_state_key", "left")
-            .groupBy("state_key", "action")
-            .agg((F.sum(gain) / F.sum("n")).alias("goal"))
-            .collect()
-        )
-        moves = {(r[0], r[1]): alpha * (r[2] - q[r[0], r[1]]) for r in goals}
-        for key, move in moves.items():
-            q[key] += move
-        if max(map(abs, moves.values()), default=0.0) <= tolerance:
-            break
-    return spark.createDataFrame([(*k, v) for k, v in q.items()], "state_key string, action int, q double")
+
+    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = list(batches)
+        if not parts:
+            return
+        t = pd.concat(parts)
+        pair, keys = pd.factorize(pd.MultiIndex.from_frame(t[["state_key", "action"]]))
+        state, names = pd.factorize(keys.get_level_values(0))
+        after = pd.Index(names).get_indexer(t["next_state_key"])
+        n = np.bincount(pair, weights=t["n"])
+        reward = np.bincount(pair, weights=t["reward_sum"]) / n
+        share = t["n"].to_numpy(float) / n[pair]
+        q = np.zeros(len(keys))
+        for _ in range(sweeps):
+            best = np.full(len(names), -np.inf)
+            np.maximum.at(best, state, q)
+            goal = reward + gamma * np.bincount(pair, weights=share * np.where(after >= 0, best[after], 0.0))
+            gap, q = np.abs(goal - q).max(), goal
+            if gap <= tolerance:
+                break
+        else:
+            raise RuntimeError(f"values still move by {gap} after {sweeps} sweeps")
+        yield pd.DataFrame({"state_key": keys.get_level_values(0), "action": keys.get_level_values(1), "q": q})
+
+    return log.coalesce(1).mapInPandas(solve, "state_key string, action int, q double")
 
 
 def policy(q: DataFrame) -> DataFrame:

@@ -88,7 +88,7 @@ def _(spark, folder):
 
 
 def _classifier(spark, folder):
-    return de.train_benefit_classifier(de.label_benefit(keyed(spark, folder)).cache(), trees=10)
+    return de.train_benefit_classifier(de.label_benefit(keyed(spark, folder)).cache())
 
 
 @query("benefit_classifier_scores", KEY + "sub_benefit:i probability:d prediction:d")
@@ -171,7 +171,7 @@ query("policy", "state_key:s q0:d q1:d q2:d action:i action_name:s confidence:d
 
 @query("batch_q_iteration", "state_key:s action:i q:d")
 def _(spark, folder):
-    return de.batch_q_iteration(de.transition_counts(logged(spark, folder)), sweeps=20, tolerance=1e-3)
+    return de.batch_q_iteration(de.transition_counts(logged(spark, folder)))
 
 
 @query(

@@ -574,7 +574,7 @@ query("pressure_flag", OVER_KEY + "pressure_ball:b", "SELECT * FROM cx", "cx")(c
 @query(
     "match_schedule", "match_id:s team1:s city:s season:s team2:s is_knockout:b",
     """SELECT match_id, FIRST(batting_team ORDER BY innings, over_no, ball, seq) AS team1, FIRST(city ORDER BY innings, over_no, ball, seq) AS city,
-       FIRST(season ORDER BY innings, over_no, ball, seq) AS season, '' AS team2, FALSE AS is_knockout FROM lg GROUP BY match_id ORDER BY match_id LIMIT 74""",
+       FIRST(season ORDER BY innings, over_no, ball, seq) AS season, '' AS team2, FALSE AS is_knockout FROM lg GROUP BY match_id""",
     "lg",
 )
 def _(spark, folder):

@@ -180,7 +180,7 @@ def _(spark, folder):
 
 def _churn(spark, folder):
     df = features_src(spark, folder).cache()
-    return df, vm.train_churn_classifier(df, trees=10)
+    return df, vm.train_churn_classifier(df)
 
 
 @query("churn_classifier_scores", "user_id:l churn_probability:d")
