@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -31,7 +32,11 @@ NIGHT_CITIES = ("Mumbai", "Chennai", "Bangalore", "Delhi")
 ROLE_WEIGHTS = {"Batsman": 5, "All-rounder": 3, "Wicketkeeper": 2, "Bowler": 0}
 # Three bins in seven places: no more than this many state keys exist.
 MAX_STATE_KEYS = 3**7
-MAX_REQUESTS = 1_000
+# Requests, and keys of a value table, that are matched in one pass.
+BLOCK_REQUESTS = 1_000
+BLOCK_KEYS = 20_000
+# Width of a band of required rates, in runs an over; a context reaches two bands.
+RATE_BAND = 6.0
 
 
 def state_vector_14d(state: DataFrame, hot: list[tuple] | None = None) -> DataFrame:
@@ -338,8 +343,6 @@ def policy_action_distribution(pol: DataFrame) -> DataFrame:
 
 
 def _request_array(requests: Sequence[Mapping[str, object]], fields: Mapping[str, str]) -> Column:
-    if not 0 < len(requests) <= MAX_REQUESTS:
-        raise ValueError(f"between 1 and {MAX_REQUESTS} requests")
     return F.array(
         *[
             F.struct(*[F.lit(r[f]).cast(t).alias(f) for f, t in fields.items()])
@@ -351,23 +354,27 @@ def _request_array(requests: Sequence[Mapping[str, object]], fields: Mapping[str
 def nearest_state(states: DataFrame, requests: Sequence[Mapping[str, object]]) -> DataFrame:
     """Closest logged delivery to each asked (required rate, wickets fallen).
 
-    Each task keeps one best row per request, so the whole log is read but hardly shuffled.
+    The log is folded to one row per distinct (rate, wickets in hand) first. Requests are taken in blocks of
+    ``BLOCK_REQUESTS``; each task keeps one best row per request of a block. ``request_id`` is unique.
     """
-    asked = _request_array(
-        requests, {"request_id": "string", "required_run_rate": "double", "wickets_fallen": "double"}
-    )
+    if not requests:
+        raise ValueError("no requests")
     place = ["match_id", "innings", *delivery_order(states)]
+    at = F.struct(*place, "state_key").alias("at")
+    folded = states.groupBy("s4_required_run_rate", "s3_wickets_in_hand").agg(F.min(at).alias("at"))
+    fields = {"request_id": "string", "required_run_rate": "double", "wickets_fallen": "double"}
     r = F.col("r")
     gap = F.abs(F.col("s4_required_run_rate") - r["required_run_rate"]) + F.abs(
         F.lit(10) - F.col("s3_wickets_in_hand") - r["wickets_fallen"]
     )
-    row = F.struct(gap.alias("distance"), *place, "state_key")
-    best = (
-        states.withColumn("r", F.explode(asked))
+    parts = [
+        folded.withColumn("r", F.explode(_request_array(requests[i : i + BLOCK_REQUESTS], fields)))
         .groupBy(r["request_id"].alias("request_id"))
-        .agg(F.min(row).alias("b"))
-    )
-    return best.select("request_id", *[F.col("b")[c].alias(c) for c in ("distance", *place, "state_key")])
+        .agg(F.min(F.struct(gap.alias("distance"), "at")).alias("b"))
+        for i in range(0, len(requests), BLOCK_REQUESTS)
+    ]
+    best = reduce(DataFrame.unionByName, parts).select("request_id", "b.distance", "b.at.*")
+    return best.select("request_id", "distance", *place, "state_key")
 
 
 def q_key(states: DataFrame) -> DataFrame:
@@ -384,13 +391,11 @@ def q_key(states: DataFrame) -> DataFrame:
 def nearest_q_key(states: DataFrame, keys: DataFrame) -> DataFrame:
     """For every distinct state key the closest key of the value table by L1 distance.
 
-    Both sides are sets of small integers; the value table is checked before it is packed.
+    Both sides are sets of small integers. The value table is taken in blocks of about ``BLOCK_KEYS`` keys, and
+    the best of all blocks counts; of equally close keys the smallest.
     """
-    if keys.limit(MAX_STATE_KEYS * 10 + 1).count() > MAX_STATE_KEYS * 10:
-        raise ValueError("value table has too many keys")
-    packed = keys.select(F.struct("k_rate", "k_hand", "k_balls").alias("k")).agg(
-        F.sort_array(F.collect_set("k")).alias("_keys")
-    )
+    table = keys.select("k_rate", "k_hand", "k_balls").distinct()
+    blocks = max(1, -(-table.count() // BLOCK_KEYS))
     mine = q_key(states).select("k_rate", "k_hand", "k_balls").distinct()
     gap = lambda k: (
         F.abs(k["k_rate"] - F.col("k_rate"))
@@ -398,16 +403,18 @@ def nearest_q_key(states: DataFrame, keys: DataFrame) -> DataFrame:
         + F.abs(k["k_balls"] - F.col("k_balls"))
     )
     best = F.array_min(F.transform("_keys", lambda k: F.struct(gap(k).alias("distance"), k.alias("key"))))
-    return (
-        with_scalars(mine, packed)
-        .withColumn("b", best)
-        .select(
-            "k_rate", "k_hand", "k_balls",
-            F.col("b")["distance"].alias("distance"),
-            F.col("b")["key"]["k_rate"].alias("q_rate"),
-            F.col("b")["key"]["k_hand"].alias("q_hand"),
-            F.col("b")["key"]["k_balls"].alias("q_balls"),
-        )
+    parts = []
+    for i in range(blocks):
+        part = table.filter(F.pmod(F.xxhash64("k_rate", "k_hand", "k_balls"), F.lit(blocks)) == i)
+        packed = part.agg(F.collect_list(F.struct("k_rate", "k_hand", "k_balls")).alias("_keys"))
+        parts.append(with_scalars(mine, packed).select("k_rate", "k_hand", "k_balls", best.alias("b")))
+    found = reduce(DataFrame.unionByName, parts).groupBy("k_rate", "k_hand", "k_balls").agg(F.min("b").alias("b"))
+    return found.select(
+        "k_rate", "k_hand", "k_balls",
+        F.col("b.distance").alias("distance"),
+        F.col("b.key.k_rate").alias("q_rate"),
+        F.col("b.key.k_hand").alias("q_hand"),
+        F.col("b.key.k_balls").alias("q_balls"),
     )
 
 
@@ -418,50 +425,87 @@ def heuristic_decision(rrr: Column, wickets_fallen: Column) -> Column:
 # --- candidates -----------------------------------------------------------------------------------
 
 
+def _uplift() -> Column:
+    return F.when(F.col("_rate") > 0, F.col("_recent") / 6.0 - F.col("_rate")).otherwise(0.0)
+
+
 def rank_candidates_context(
-    states: DataFrame, contexts: Sequence[Mapping[str, object]], players: Sequence[str] | None = None, n: int | None = None
+    states: DataFrame, contexts: DataFrame, players: Sequence[str] | None = None, n: int | None = None
 ) -> DataFrame:
-    """Batters ranked for each asked (phase, required rate) by how they outpaced the rate there.
+    """Batters ranked for each context (``context_id``, ``phase_code``, ``required_run_rate``) of a table.
 
-    Deliveries of the same phase within three runs an over count; a batter without any is judged
-    on all deliveries.
+    A batter is judged by how they outpaced the rate: on deliveries of the same phase within three runs an over,
+    or on all their deliveries where none is alike. The log is folded to (batter, phase, rate); contexts meet it
+    through bands of the rate, once per distinct (phase, rate). Batters without alike deliveries come in one order
+    for all contexts, so a top ``n`` takes only the first ``n`` and as many more as the context has alike ones.
+    Without ``n`` every batter is listed for every context. ``context_id`` is unique.
     """
-    asked = _request_array(
-        contexts, {"context_id": "string", "phase_code": "double", "required_run_rate": "double"}
-    )
-    df = states if players is None else states.filter(F.col("batter").isin(*players))
-    c, x = F.col, F.col("x")
-    alike = (c("s7_phase_code") == x["phase_code"]) & c("s4_required_run_rate").between(
-        F.greatest(x["required_run_rate"] - 3, F.lit(0.0)), x["required_run_rate"] + 3
-    )
-    near = lambda v: F.avg(F.when(alike, c(v)))
-    per = (
+    c = F.col
+    df = states if players is None else states.filter(c("batter").isin(*players))
+    sums = lambda v: (F.sum(v).alias(f"sum_{v}"), F.count(v).alias(f"n_{v}"))
+    folded = (
         df.dropna(subset=["batter"])
-        .withColumn("x", F.explode(asked))
-        .groupBy(x["context_id"].alias("context_id"), F.col("batter").alias("player"))
-        .agg(
-            F.coalesce(near("s8_runs_last_6_balls"), F.avg("s8_runs_last_6_balls")).alias("_recent"),
-            F.coalesce(near("s4_required_run_rate"), F.avg("s4_required_run_rate")).alias("_rate"),
-        )
-    )
-    uplift = F.when(c("_rate") > 0, c("_recent") / 6.0 - c("_rate")).otherwise(0.0)
-    fit = F.when(c("_recent") > 0, clip(F.lit(1.0) / (F.lit(1.0) + F.abs(c("expected_uplift_runs"))), 0.0, 1.0))
+        .groupBy(c("batter").alias("player"), c("s7_phase_code").alias("phase"), c("s4_required_run_rate").alias("rate"))
+        .agg(*sums("s8_runs_last_6_balls"), F.count("s4_required_run_rate").alias("n_rate"))
+    )
+    runs, known = F.sum("sum_s8_runs_last_6_balls"), F.sum("n_s8_runs_last_6_balls")
+    mean = lambda total, many: F.when(many > 0, total / many)
+    means = (
+        mean(runs, known).alias("_recent"),
+        mean(F.sum(c("rate") * c("n_rate")), F.sum("n_rate")).alias("_rate"),
+    )
+    overall = folded.groupBy("player").agg(*means)
+    low, high = F.greatest(c("asked") - 3, F.lit(0.0)), c("asked") + 3
+    band = lambda v: F.floor(v / RATE_BAND)
+    asked = contexts.select(
+        "context_id", c("phase_code").cast("double").alias("code"), c("required_run_rate").cast("double").alias("asked")
+    )
+    spots = asked.select("code", "asked").distinct()
+    reach = F.when(high >= low, F.sequence(band(low), band(high)))
+    alike = (
+        spots.withColumns({"low": low, "high": high, "band": F.explode(reach)})
+        .join(folded.withColumn("at", band(c("rate"))), (c("code") == c("phase")) & (c("band") == c("at")))
+        .filter(c("rate").between(c("low"), c("high")))
+        .groupBy("code", "asked", "player")
+        .agg(*means)
+    )
+    whole = overall.select("player", c("_recent").alias("_r"), c("_rate").alias("_q"))
+    near = alike.join(whole, "player").select(
+        "code", "asked", "player", F.coalesce("_recent", "_r").alias("_recent"), F.coalesce("_rate", "_q").alias("_rate")
+    )
+    ordered = scan(
+        overall.withColumn("_up", _uplift()), [], [F.desc("_up"), "player"], hot_groups(overall, []), _place=RowNumber()
+    ).drop("_up")
+    many = near.groupBy(c("code").alias("_c"), c("asked").alias("_a")).agg(F.count(F.lit(1)).alias("_n"))
+    here = c("code").eqNullSafe(c("_c")) & c("asked").eqNullSafe(c("_a"))
+    counted = with_scalars(spots.join(many, here, "left").drop("_c", "_a"), overall.agg(F.count(F.lit(1)).alias("_all")))
+    wanted = c("_all") if n is None else F.least("_all", F.coalesce("_n", F.lit(0)) + n)
+    places = counted.filter("_all > 0").select("code", "asked", F.explode(F.sequence(F.lit(1).cast("long"), wanted)).alias("_place"))
+    others = places.join(ordered, "_place").drop("_place")
+    taken = near.select(c("code").alias("_c"), c("asked").alias("_a"), c("player").alias("_p"))
+    others = others.join(taken, here & (c("player") == c("_p")), "left_anti")
+    uplift = c("expected_uplift_runs")
+    fit = F.when(c("_recent") > 0, clip(F.lit(1.0) / (F.lit(1.0) + F.abs(uplift)), 0.0, 1.0))
     scored = (
-        per.withColumn("expected_uplift_runs", uplift)
+        near.unionByName(others)
+        .withColumn("expected_uplift_runs", _uplift())
         .withColumns(
             {
                 "compatibility": fit.otherwise(0.3),
-                "primary_role": F.when(c("expected_uplift_runs") > 0, "Batter").otherwise("Bowler"),
+                "primary_role": F.when(uplift > 0, "Batter").otherwise("Bowler"),
                 "sr_in_context": F.when(c("_recent") > 0, c("_recent") / 6.0 * 100).otherwise(0.0),
             }
         )
         .drop("_recent", "_rate")
     )
-    place = F.row_number().over(
-        Window.partitionBy("context_id").orderBy(F.desc("expected_uplift_runs"), "player")
-    )
-    ranked = scored.withColumn("rank", place)
-    return ranked if n is None else ranked.filter(F.col("rank") <= n)
+    order = [F.desc("expected_uplift_runs"), "player"]
+    if n is None:
+        ranked = scan(scored, ["code", "asked"], order, rank=RowNumber()).withColumn("rank", c("rank").cast("int"))
+    else:
+        ranked = scored.withColumn("rank", F.row_number().over(Window.partitionBy("code", "asked").orderBy(*order)))
+        ranked = ranked.filter(c("rank") <= n)
+    ranked = ranked.withColumnsRenamed({"code": "_c", "asked": "_a"})
+    return asked.join(ranked, here).drop("code", "asked", "_c", "_a")
 
 
 def rank_candidates_roles(
@@ -535,17 +579,15 @@ def profile_uplift(profiles: DataFrame, state: Mapping[str, float]) -> DataFrame
 def recommend(
     requests: DataFrame, states: DataFrame, pol: DataFrame, model: object | None = None, n: int = 3
 ) -> DataFrame:
-    """Decision, confidence and top candidates for a short table of asked states.
+    """Decision, confidence and top candidates for a table of asked states.
 
-    ``requests`` carries ``request_id`` and the fourteen dimensions. A state the policy has not seen
+    ``requests`` carries ``request_id`` (unique) and the fourteen dimensions. A state the policy has not seen
     means no substitution with confidence 0; a benefit probability above 0.7 overrules waiting.
     """
-    asked = requests.limit(MAX_REQUESTS + 1).select(
-        "request_id", F.col("s7_phase_code"), F.col("s4_required_run_rate")
-    ).collect()
-    contexts = [
-        {"context_id": r[0], "phase_code": r[1], "required_run_rate": r[2]} for r in asked
-    ]
+    contexts = requests.select(
+        F.col("request_id").alias("context_id"), F.col("s7_phase_code").alias("phase_code"),
+        F.col("s4_required_run_rate").alias("required_run_rate"),
+    )
     keyed = discretise_state(requests)
     scored = (
         score_classifier(model, keyed).drop("prediction")

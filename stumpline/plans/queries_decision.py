@@ -225,11 +225,7 @@ def _(spark, folder):
     return s.withColumn("substitute", de.heuristic_decision(F.col("required_run_rate"), F.col("wickets_fallen")))
 
 
-CONTEXTS = [
-    {"context_id": "x", "phase_code": 2.0, "required_run_rate": 9.0},
-    {"context_id": "y", "phase_code": 0.0, "required_run_rate": 0.0},
-    {"context_id": "z", "phase_code": 1.0, "required_run_rate": 40.0},
-]
+CONTEXTS = [("x", 2.0, 9.0), ("y", 0.0, 0.0), ("z", 1.0, 40.0)]
 _ALIKE = "s7_phase_code = ph AND s4_required_run_rate BETWEEN GREATEST(rr - 3, 0) AND rr + 3"
 cte("rc0", "sv", f"""
 SELECT context_id, batter AS player, COALESCE(AVG(CASE WHEN {_ALIKE} THEN s8_runs_last_6_balls END), AVG(s8_runs_last_6_balls)) AS recent, COALESCE(AVG(CASE WHEN {_ALIKE} THEN s4_required_run_rate END), AVG(s4_required_run_rate)) AS rate
@@ -244,7 +240,8 @@ cte("rc", "rc0", "SELECT *, CASE WHEN rate > 0 THEN recent / 6 - rate ELSE 0 END
     "rc",
 )
 def _(spark, folder):
-    return de.rank_candidates_context(vectors(spark, folder), CONTEXTS)
+    asked = spark.createDataFrame(CONTEXTS, "context_id string, phase_code double, required_run_rate double")
+    return de.rank_candidates_context(vectors(spark, folder), asked)
 
 
 def _roles(spark, folder):
@@ -302,14 +299,42 @@ def _(spark, folder):
     return de.profile_uplift(p, ROLE_STATE)
 
 
+cte("rq", "sv", """
+SELECT match_id AS request_id, state_key, s7_phase_code AS ph, s4_required_run_rate AS rr FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY match_id ORDER BY innings DESC, over_no DESC, ball DESC, seq DESC) AS rn FROM sv) WHERE rn = 1""")
+cte("rq1", "rq sv", f"""
+SELECT request_id, batter AS player, COALESCE(AVG(CASE WHEN {_ALIKE} THEN s8_runs_last_6_balls END), AVG(s8_runs_last_6_balls)) AS recent, COALESCE(AVG(CASE WHEN {_ALIKE} THEN s4_required_run_rate END), AVG(s4_required_run_rate)) AS rate
+FROM sv, (SELECT request_id, ph, rr FROM rq) GROUP BY request_id, batter""")
+cte("rq2", "rq1", """
+SELECT request_id, string_agg(player, ',' ORDER BY rn) AS candidates FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY request_id ORDER BY CASE WHEN rate > 0 THEN recent / 6 - rate ELSE 0 END DESC, player) AS rn FROM rq1) WHERE rn <= 3 GROUP BY request_id""")
+
+
+def _last_states(states: DataFrame) -> DataFrame:
+    last = states.groupBy("match_id").agg(F.max_by(F.struct(*de.STATE_COLUMNS), F.struct("innings", "over", "ball", "seq")).alias("r"))
+    return last.select(F.col("match_id").alias("request_id"), "r.*")
+
+
+def _recommended(spark, folder, model=None):
+    s = keyed(spark, folder)
+    out = de.recommend(_last_states(s), s, mean_policy(spark, folder), model)
+    return out.withColumn("candidates", F.concat_ws(",", F.transform("candidates", lambda c: c["player"])))
+
+
 @query("recommend", "request_id:s state_key:s substitute_now:b recommended_action:s confidence:d benefit_probability:d candidates:s")
 def _(spark, folder):
-    s = keyed(spark, folder)
-    last = s.groupBy("match_id").agg(F.max_by(F.struct(*de.STATE_COLUMNS), F.struct("innings", "over", "ball", "seq")).alias("r"))
-    requests = last.orderBy("match_id").limit(5).select(F.col("match_id").alias("request_id"), "r.*")
-    out = de.recommend(requests, s, mean_policy(spark, folder))
-    names = F.transform("candidates", lambda c: c["player"])
-    return out.withColumn("candidates", F.concat_ws(",", names))
+    """The last state of every match, with the trained classifier."""
+    return _recommended(spark, folder, _classifier(spark, folder)[0])
+
+
+@query(
+    "recommend_by_policy", "request_id:s state_key:s substitute_now:b recommended_action:s confidence:d benefit_probability:d candidates:s",
+    """SELECT request_id, state_key, COALESCE(po.action, 0) > 0 AS substitute_now, COALESCE(po.action_name, 'no_substitution') AS recommended_action, COALESCE(po.confidence, 0) AS confidence,
+       0.5::DOUBLE AS benefit_probability, candidates FROM rq LEFT JOIN po USING (state_key) LEFT JOIN rq2 USING (request_id)""",
+    "rq rq2 po",
+)
+def _(spark, folder):
+    return _recommended(spark, folder)
 
 
 cte("cf0", "sv po", f"""

@@ -135,12 +135,12 @@ cte("cen", "vl", "SELECT cluster, i, AVG(x) AS m, COUNT(*) AS n FROM vl GROUP BY
 
 
 @query(
-    "standardise_features", "player:s " + " ".join(f"{f}:d" for f in F64[:8]),
-    "SELECT player, " + ", ".join(f"({f} - AVG({f}) OVER ()) / STDDEV_POP({f}) OVER () AS {f}" for f in F64[:8]) + " FROM v", "v",
+    "standardise_features", "player:s " + " ".join(f"{f}:d" for f in F64),
+    "SELECT player, " + ", ".join(f"({f} - AVG({f}) OVER ()) / STDDEV_POP({f}) OVER () AS {f}" for f in F64) + " FROM v", "v",
 )
 def _(spark, folder):
     df, _ = bridge.vectors(spark, folder)
-    return cl.standardise(df.select("player", *F64[:8]), F64[:8])
+    return cl.standardise(df.select("player", *F64), F64)
 
 
 @query("centroid_profile", "cluster:i " + " ".join(f"{f}:d" for f in F64), "SELECT cluster, " + ", ".join(f"AVG({f}) AS {f}" for f in F64) + " FROM v GROUP BY cluster", "v")
@@ -261,12 +261,9 @@ def _(spark, folder):
 # --- fitted clusters ------------------------------------------------------------------------------
 
 
-F12 = F64[:12]  # as many features as a player profile has
-
-
 def _fit(spark, folder, k=4):
     df, _ = bridge.vectors(spark, folder)
-    return cl.fit_clusters(df.select("player", *F12), F12, k=k)
+    return cl.fit_clusters(df.select("player", *F64), F64, k=k)
 
 
 @query("pca_scores", "player:s pc1:d pc2:d pc3:d")
@@ -294,8 +291,8 @@ def _(spark, folder):
 @query("sweep_k", "k:i silhouette:d inertia:d is_best:b")
 def _(spark, folder):
     df, _ = bridge.vectors(spark, folder)
-    z = cl.standardise(df.select("player", *F12), F12)
-    projection = cl.fit_pca(z, F12)
+    z = cl.standardise(df.select("player", *F64), F64)
+    projection = cl.fit_pca(z, F64)
     return cl.sweep_k(projection.apply(z), projection.axes)
 
 
