@@ -229,7 +229,17 @@ def _store(spark, folder):
     return out
 
 
-@query("build_feature_store", "table:s present:b rows:l all_ready:b")
+_COUNTS = {
+    "full_canonical": "COUNT(*)", "match_state": "COUNT(*)", "over_level": "COUNT(DISTINCT (match_id, innings, batting_team, over_no))",
+    "player_level": "COUNT(DISTINCT striker)", "match_level": "COUNT(DISTINCT (match_id, innings))",
+}
+
+
+@query(
+    "build_feature_store", "table:s present:b rows:l all_ready:b",
+    " UNION ALL ".join(f"SELECT '{k}' AS \"table\", TRUE AS present, {v} AS rows, TRUE AS all_ready FROM cleaned" for k, v in _COUNTS.items()),
+    "cleaned",
+)
 def _(spark, folder):
     return store.store_inventory(spark, _store(spark, folder))
 

@@ -35,12 +35,13 @@ def build_feature_store(
     """Write the five tables, reusing those that exist unless ``force``.
 
     Every table is read back after it is written, so later tables start from parquet and not from
-    the raw text again.
+    the raw text again. The delivery tables keep ``source_rank`` and ``seq``, the order of arrival, which
+    settles repeated (over, ball).
     """
 
     def canonical() -> DataFrame:
         raw = frames if frames is not None else read_all_sources(spark, raw_folder or folder)
-        return clean_events(merge_sources(raw)).drop("seq", "source_rank")
+        return clean_events(merge_sources(raw))
 
     makers = {
         "full_canonical": lambda t: canonical(),

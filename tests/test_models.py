@@ -218,3 +218,27 @@ def test_forecast_beats_zero(spark):
     base = df.agg(F.avg(F.col("next_1") * F.col("next_1"))).first()[0]
     assert error < base
     assert {r[0] for r in df.select("split").distinct().collect()} == {"train", "validation"}
+
+
+def test_ranking_of_many_contexts_matches_a_plain_one(spark):
+    rng = random.Random(4)
+    log = [(f"b{rng.randint(0, 12)}", float(rng.randint(0, 2)), rng.choice([0.0, rng.uniform(0, 20)]), float(rng.randint(0, 20))) for _ in range(400)]
+    states = spark.createDataFrame([*log, (None, 0.0, 5.0, 30.0)], "batter string, s7_phase_code double, s4_required_run_rate double, s8_runs_last_6_balls double")
+    asked = [(f"c{i}", float(i % 4), [0.0, 6.0, 11.5, 40.0, -5.0][i % 5]) for i in range(5_000)] + [("none", None, 3.0)]
+    contexts = spark.createDataFrame(asked, "context_id string, phase_code double, required_run_rate double")
+    got = {}
+    for r in de.rank_candidates_context(states, contexts, n=2).collect():
+        got.setdefault(r.context_id, {})[r["rank"]] = (r.player, round(r.expected_uplift_runs, 6))
+    mean = lambda v: sum(v) / len(v)
+    known = {}
+    for name, phase, rate in asked:
+        if (phase, rate) not in known:
+            scored = []
+            for b in {x[0] for x in log}:
+                mine = [x for x in log if x[0] == b]
+                near = [x for x in mine if x[1] == phase and max(rate - 3, 0) <= x[2] <= rate + 3] or mine
+                recent, need = mean([x[3] for x in near]), mean([x[2] for x in near])
+                scored.append((-(recent / 6 - need) if need > 0 else 0.0, b))
+            known[phase, rate] = {i + 1: (b, round(-u, 6)) for i, (u, b) in enumerate(sorted(scored)[:2])}
+        assert got[name] == known[phase, rate]
+    assert de.rank_candidates_context(states, contexts.limit(3)).count() == 3 * len({x[0] for x in log})

@@ -7,6 +7,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check import TABLES, close, rows_of
+from stumpline.operators import decision, selection
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are absent")
@@ -18,7 +19,7 @@ USUAL = (
     "rank_candidates_context", "counterfactual", "excitement_density_extended", "ad_tiers_by_season", "peak_detect",
     "revenue_resample", "hot_zones", "user_features_src", "kaplan_meier_by_streak", "segment_4", "revenue_impact_net",
 )
-HOT = ("event_state", "cap_wickets", "pressure_profile", "transitions", "clv_quartile", "concordance_continuous", "ad_tiers")
+HOT = ("event_state", "cap_wickets", "pressure_profile", "transitions", "clv_quartile", "concordance_continuous", "ad_tiers", "rank_candidates_context", "recommend_by_policy")
 
 
 @pytest.fixture(scope="module")
@@ -48,6 +49,14 @@ def test_hot_route_matches_sql(spark, duck, hot, name):
     compare(spark, duck, name)
 
 
+def test_blocks_do_not_change_results(spark, duck, monkeypatch):
+    monkeypatch.setattr(decision, "BLOCK_REQUESTS", 2)
+    monkeypatch.setattr(decision, "BLOCK_KEYS", 40)
+    monkeypatch.setattr(selection, "BLOCK_TARGETS", 4)
+    for name in ("nearest_state", "nearest_q_key", "similar_players"):
+        compare(spark, duck, name)
+
+
 def test_every_sql_text_parses(duck):
     for name, sql in oracle_sql().items():
         duck.execute("EXPLAIN " + sql)

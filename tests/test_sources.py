@@ -71,3 +71,20 @@ def test_user_file_is_checked(spark, tmp_path):
 def test_no_source_raises():
     with pytest.raises(FileNotFoundError):
         hz.merge_sources({})
+
+
+def test_stored_state_keeps_the_order_of_arrival(spark, tmp_path):
+    late = [("z bowler", 4), ("a bowler", 0), ("m bowler", 6)]
+    lines = [HEADER]
+    for ball in range(1, 5):
+        for bowler, runs in late:
+            lines.append(f"1001,2025,2025-05-18,V,1,3.{ball},team a,team b,s one,,{bowler},{runs},0,,,,,,")
+    (tmp_path / "raw_cricsheet_all_ipl.csv").write_text("\n".join(lines))
+    stored = store.build_feature_store(spark, str(tmp_path / "store"), raw_folder=str(tmp_path))["match_state"]
+    rows = stored.orderBy("over", "ball", "seq").select("bowler", "total_runs").collect()
+    want, total = [], 0
+    for _ in range(4):
+        for bowler, runs in late:
+            total += runs
+            want.append((bowler.title(), total))
+    assert [tuple(r) for r in rows] == want
