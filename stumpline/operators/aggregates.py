@@ -86,7 +86,7 @@ def first_of(col: str, order: Sequence[str]) -> Column:
 
 def match_level(df: DataFrame) -> DataFrame:
     """Per (match, innings) totals with the first venue, date and type."""
-    order = ["over", "ball", *(["seq"] if "seq" in df.columns else [])]
+    order = ["over", "ball", *[c for c in ("source_rank", "seq") if c in df.columns]]
     return (
         df.dropna(subset=["match_id", "innings"])
         .groupBy("match_id", "innings")
@@ -183,7 +183,7 @@ def match_context(over_stats: DataFrame, rules: dict | None = None, overs: int =
 
 def match_schedule(df: DataFrame, n: int | None = None) -> DataFrame:
     """First team, city and season per match, the first ``n`` matches by id."""
-    order = ["innings", "over", "ball", *(["seq"] if "seq" in df.columns else [])]
+    order = ["innings", "over", "ball", *[c for c in ("source_rank", "seq") if c in df.columns]]
     found = (
         df.dropna(subset=["match_id"])
         .groupBy("match_id")
