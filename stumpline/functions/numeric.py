@@ -54,8 +54,8 @@ def hyp2f1(a: np.ndarray, b: np.ndarray, c: np.ndarray, z: np.ndarray) -> np.nda
         term = term * (a + k) * (b + k) / ((c + k) * (k + 1)) * z
         total = total + term
         if np.all(np.abs(term) <= 1e-14 * np.abs(total)):
-            break
-    return total
+            return total
+    raise ArithmeticError("the series does not converge")
 
 
 def tie_sums(at_risk: np.ndarray, dying: np.ndarray, deaths: np.ndarray) -> tuple[np.ndarray, ...]:

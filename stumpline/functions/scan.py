@@ -5,27 +5,48 @@ right plan while groups are small, and ``scan`` uses it then: one exchange and
 one sort for all requested columns. When a group holds more rows than one task
 should sort, ``scan`` range-partitions the rows of the hot groups on
 (keys, order), solves every slice on its own and carries slice summaries
-forward. The summaries number at most (slices + hot groups) rows, so they are
-safe to broadcast. Both routes give the same rows.
+forward. The summaries number at most (slices + hot groups) rows; up to
+``MAX_BROADCAST_ROWS`` they are broadcast, more are joined by a shuffle. Both
+routes give the same rows.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections import OrderedDict
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stumpline.session import ensure_checkpoint_dir
+from stumpline.session import ensure_checkpoint_dir, shared_folder
 
 HOT_ROWS_CONF = "spark.stumpline.hotGroupRows"
 HOT_ROWS_DEFAULT = 1_000_000
-# The hot list is broadcast, so its length is bounded. A group that does not make the list
-# is smaller than 1/MAX_HOT_GROUPS of the rows and merely takes the plain route.
-MAX_HOT_GROUPS = 10_000
+# The largest hot groups are listed and broadcast. Hot groups beyond the list are a table, joined by a shuffle:
+# each has less than 1/MAX_LISTED of the rows.
+MAX_LISTED = 10_000
+MAX_BROADCAST_ROWS = 100_000
+# Answers of hot_groups that are kept for the same files.
+MAX_REMEMBERED = 256
 
-_hot_memo: dict[tuple, list[tuple]] = {}
+
+@dataclass(frozen=True)
+class Hot:
+    """Groups too large for one task: (keys..., rows) of the largest, and a table of the keys of any further ones."""
+
+    listed: list[tuple] = field(default_factory=list)
+    more: DataFrame | None = None
+    groups: int = 0
+    rows: int = 0
+
+    def __bool__(self) -> bool:
+        return self.groups > 0
+
+
+NO_HOT = Hot()
+_remembered: OrderedDict[tuple, Hot] = OrderedDict()
 
 
 @dataclass(frozen=True)
@@ -78,26 +99,43 @@ def hot_rows_limit(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(HOT_ROWS_CONF, str(HOT_ROWS_DEFAULT)))
 
 
-def hot_groups(df: DataFrame, keys: Sequence[str]) -> list[tuple]:
-    """Keys (with row counts last) of groups too large for one task; at most MAX_HOT_GROUPS.
+def hot_groups(df: DataFrame, keys: Sequence[str]) -> Hot:
+    """Groups too large for one task.
 
     One partially aggregated count over the key columns; everything else is pruned. The answer only
-    steers the physical route, never the result, so it is remembered per optimised plan, and the
-    list of a larger table may be passed on to tables derived from it.
+    steers the physical route, never the result. It is kept for plans that read the same bytes (a
+    grown table is counted again), and that of a larger table may be passed on to tables derived from it.
     """
     limit = hot_rows_limit(df)
     narrow = df.select(*keys) if keys else df.select(F.lit(1).alias("_one"))
-    plan = narrow._jdf.queryExecution().optimizedPlan().semanticHash()
-    memo = (df.sparkSession.sparkContext.applicationId, plan, tuple(keys), limit)
-    if memo not in _hot_memo:
+    plan = narrow._jdf.queryExecution().optimizedPlan()
+    known = (
+        df.sparkSession.sparkContext.applicationId, plan.semanticHash(), plan.canonicalized().toString(),
+        str(plan.stats().sizeInBytes()), tuple(keys), limit, MAX_LISTED,
+    )
+    if known not in _remembered:
         counts = narrow.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
-        _hot_memo[memo] = [tuple(r) for r in counts.orderBy(F.desc("_n")).limit(MAX_HOT_GROUPS).collect()]
-    return _hot_memo[memo]
+        _remembered[known] = _found(counts, keys)
+        while len(_remembered) > MAX_REMEMBERED:
+            _remembered.popitem(last=False)
+    return _remembered[known]
 
 
-def hot_frame(df: DataFrame, keys: Sequence[str], hot: list[tuple]) -> DataFrame:
+def _found(counts: DataFrame, keys: Sequence[str]) -> Hot:
+    top = [tuple(r) for r in counts.orderBy(F.desc("_n"), *keys).limit(MAX_LISTED + 1).collect()]
+    if len(top) <= MAX_LISTED:
+        return Hot(top, None, len(top), sum(r[-1] for r in top))
+    spark = counts.sparkSession
+    path = f"{shared_folder(spark)}/hot-{uuid.uuid4().hex}"
+    counts.write.parquet(path)
+    table = spark.read.schema(counts.schema).parquet(path)
+    total = table.agg(F.count(F.lit(1)).alias("groups"), F.sum("_n").alias("rows")).first()
+    return Hot(top[:MAX_LISTED], table.select(*keys), total["groups"], total["rows"])
+
+
+def hot_frame(df: DataFrame, keys: Sequence[str], hot: Hot) -> DataFrame:
     schema = df.select(*keys).schema
-    rows = [tuple(h[: len(keys)]) for h in hot]
+    rows = [tuple(h[: len(keys)]) for h in hot.listed]
     return F.broadcast(df.sparkSession.createDataFrame(rows, schema))
 
 
@@ -107,7 +145,17 @@ def null_safe_join(df: DataFrame, other: DataFrame, keys: Sequence[str], how: st
     cond = F.lit(True)
     for k in keys:
         cond = cond & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
-    return df.join(F.broadcast(right), cond, how)
+    return df.join(right, cond, how)
+
+
+def _split(df: DataFrame, keys: Sequence[str], hot: Hot) -> tuple[DataFrame, DataFrame]:
+    """The rows of other groups and those of hot groups."""
+    listed = hot_frame(df, keys, hot)
+    cold, heavy = null_safe_join(df, listed, keys, "left_anti"), null_safe_join(df, listed, keys, "left_semi")
+    if hot.more is not None:
+        heavy = heavy.unionByName(null_safe_join(cold, hot.more, keys, "left_semi"))
+        cold = null_safe_join(cold, hot.more, keys, "left_anti")
+    return cold, heavy
 
 
 def _plain(df: DataFrame, keys: Sequence[str], order: Sequence, ops: dict[str, Op]) -> DataFrame:
@@ -142,11 +190,11 @@ def _plain(df: DataFrame, keys: Sequence[str], order: Sequence, ops: dict[str, O
     return out
 
 
-def _sliced(df: DataFrame, keys: Sequence[str], order: Sequence, ops: dict[str, Op], rows: int) -> DataFrame:
+def _sliced(df: DataFrame, keys: Sequence[str], order: Sequence, ops: dict[str, Op], hot: Hot) -> DataFrame:
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    slices = max(2, shuffle, -(-rows // hot_rows_limit(df)))
+    slices = max(2, shuffle, -(-hot.rows // hot_rows_limit(df)))
     # The slice number must not change between the two readers below, hence the checkpoint.
     ranged = (
         df.repartitionByRange(slices, *keys, *order).withColumn("_slice", F.spark_partition_id()).checkpoint()
@@ -217,7 +265,8 @@ def _sliced(df: DataFrame, keys: Sequence[str], order: Sequence, ops: dict[str,
     cond = F.lit(True)
     for k in part:
         cond = cond & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    joined = step.join(F.broadcast(offsets), cond)
+    small = slices + hot.groups <= MAX_BROADCAST_ROWS
+    joined = step.join(F.broadcast(offsets) if small else offsets, cond)
 
     rn = F.col("_rn")
     final: list[Column] = [F.col(c) for c in df.columns if c not in ops]
@@ -249,36 +298,33 @@ def _sliced(df: DataFrame, keys: Sequence[str], order: Sequence, ops: dict[str,
 
 
 def scan(
-    df: DataFrame, keys: Sequence[str], order: Sequence, hot: list[tuple] | None = None, **ops: Op
+    df: DataFrame, keys: Sequence[str], order: Sequence, hot: Hot | None = None, **ops: Op
 ) -> DataFrame:
     """Add one column per op, computed per ``keys`` group in ``order``.
 
     ``order`` has to identify a row within its group, or the result of ties is arbitrary.
-    Values of sums are expected to be non-null. ``hot`` passes a list ``hot_groups`` has already
+    Values of sums are expected to be non-null. ``hot`` passes what ``hot_groups`` has already
     found for these keys.
     """
     if hot is None:
         hot = hot_groups(df, keys)
     if not hot:
         return _plain(df, keys, order, ops)
-    rows = sum(h[-1] for h in hot)
     if not keys:
-        return _sliced(df, keys, order, ops, rows)
-    listed = hot_frame(df, keys, hot)
-    cold = _plain(null_safe_join(df, listed, keys, "left_anti"), keys, order, ops)
-    heavy = _sliced(null_safe_join(df, listed, keys, "left_semi"), keys, order, ops, rows)
-    return cold.unionByName(heavy)
+        return _sliced(df, keys, order, ops, hot)
+    cold, heavy = _split(df, keys, hot)
+    return _plain(cold, keys, order, ops).unionByName(_sliced(heavy, keys, order, ops, hot))
 
 
 def lookup(
-    df: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "left", hot: list[tuple] | None = None
+    df: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "left", hot: Hot | None = None
 ) -> DataFrame:
-    """Join ``other`` (unique on ``keys``) to ``df``, spreading hot keys over salts."""
+    """Join ``other`` (unique on ``keys``) to ``df``, spreading the listed hot keys over salts."""
     if hot is None:
         hot = hot_groups(df, keys)
     if not hot:
         return df.join(other, list(keys), how)
-    salts = max(2, -(-max(h[-1] for h in hot) // hot_rows_limit(df)))
+    salts = max(2, -(-hot.listed[0][-1] // hot_rows_limit(df)))
     listed = hot_frame(df, keys, hot).withColumn("_hot", F.lit(True))
     many = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     left = df.join(listed, list(keys), "left").withColumn(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stumpline.functions.exprs import flag_sum, title_case
-from stumpline.functions.scan import Running, hot_groups, scan
+from stumpline.functions.scan import Hot, Running, hot_groups, scan
 
 EVENT_KEY = ("match_id", "innings", "over", "ball", "batting_team", "bowler")
 CRITICAL = ("match_id", "innings", "over", "striker", "bowler")
@@ -51,7 +51,7 @@ def arrival_order(df: DataFrame) -> list[str]:
 
 
 def cap_wickets(
-    df: DataFrame, limit: int = MAX_WICKETS, flag: str | None = None, hot: list[tuple] | None = None
+    df: DataFrame, limit: int = MAX_WICKETS, flag: str | None = None, hot: Hot | None = None
 ) -> DataFrame:
     """Zero the wicket on rows where the innings has already passed ``limit``.
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from stumpline.functions.exprs import boundary_ball, clip, flag_sum
 from stumpline.functions.quantiles import with_scalars
-from stumpline.functions.scan import Lag, RowNumber, Running, Total, Trailing, hot_groups, scan
+from stumpline.functions.scan import Hot, Lag, RowNumber, Running, Total, Trailing, hot_groups, scan
 from stumpline.operators.state import INNINGS, delivery_order
 
 # The fourteen state dimensions, in order.
@@ -39,7 +39,7 @@ BLOCK_KEYS = 20_000
 RATE_BAND = 6.0
 
 
-def state_vector_14d(state: DataFrame, hot: list[tuple] | None = None) -> DataFrame:
+def state_vector_14d(state: DataFrame, hot: Hot | None = None) -> DataFrame:
     """The fourteen state dimensions of every delivery. ``hot`` passes known oversized innings."""
     df = scan(
         state,
@@ -234,7 +234,7 @@ def binary_metrics(df: DataFrame, label: str, score: str, threshold: float = 0.5
 # --- transitions and policy ----------------------------------------------------------------------
 
 
-def transitions(states: DataFrame, action: Column | None = None, hot: list[tuple] | None = None) -> DataFrame:
+def transitions(states: DataFrame, action: Column | None = None, hot: Hot | None = None) -> DataFrame:
     """(state, next state, reward) per innings, all but its last seven deliveries.
 
     The reward compares the mean six-ball runs with the mean required rate over the delivery and
@@ -619,7 +619,7 @@ def recommend(
 
 
 def counterfactual(
-    states: DataFrame, pol: DataFrame, overs: int = 2, hot: list[tuple] | None = None
+    states: DataFrame, pol: DataFrame, overs: int = 2, hot: Hot | None = None
 ) -> DataFrame:
     """Per innings of 12 or more deliveries: first over the policy would act in, against the middle.
 

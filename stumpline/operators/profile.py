@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stumpline.functions.exprs import boundary_ball, dot_ball, flag_sum, legal_ball, rate, sum_where
-from stumpline.functions.scan import Lag, Trailing, lookup, scan
+from stumpline.functions.scan import Hot, Lag, Trailing, lookup, scan
 from stumpline.operators.aggregates import match_context, over_stats_legacy
 from stumpline.operators.state import INNINGS, delivery_order
 
@@ -36,7 +36,7 @@ def is_spin_by_name(bowler: Column) -> Column:
     return F.when(F.length(bowler) > 0, F.substring(bowler, -1, 1).isin("a", "e", "i", "o", "u"))
 
 
-def boundary_over_response(df: DataFrame, hot: list[tuple] | None = None) -> DataFrame:
+def boundary_over_response(df: DataFrame, hot: Hot | None = None) -> DataFrame:
     """Runs and legal balls a striker faced right after a ball from an over with a boundary.
 
     "After" follows the striker's own deliveries. Within one over every ball but the first follows
@@ -71,8 +71,8 @@ def pressure_profile(
     state: DataFrame,
     min_balls: int = 10,
     bowler_types: DataFrame | None = None,
-    hot: list[tuple] | None = None,
-    hot_strikers: list[tuple] | None = None,
+    hot: Hot | None = None,
+    hot_strikers: Hot | None = None,
 ) -> DataFrame:
     """The twelve features plus appearances, balls, runs and overall rate, per striker.
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stumpline.functions.exprs import boundary_ball, clip, dot_ball
-from stumpline.functions.scan import RowNumber, Running, Since, Total, Trailing, hot_groups, lookup, scan
+from stumpline.functions.scan import Hot, RowNumber, Running, Since, Total, Trailing, hot_groups, lookup, scan
 
 INNINGS = ("match_id", "innings")
 RECENT = 12
@@ -39,7 +39,7 @@ def innings_target(df: DataFrame) -> DataFrame:
     return totals.select(*INNINGS, first.alias("inning1_total"))
 
 
-def running_state(df: DataFrame, hot: list[tuple] | None = None) -> DataFrame:
+def running_state(df: DataFrame, hot: Hot | None = None) -> DataFrame:
     """Running totals, ball ordinals, partnership and recent-window sums of every delivery."""
     runs, wickets = F.coalesce("runs", F.lit(0)), F.coalesce("wickets", F.lit(0))
     one = F.lit(1)

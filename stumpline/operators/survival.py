@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from stumpline.functions.numeric import tie_sums
 from stumpline.functions.quantiles import exact_quantiles, with_scalars
-from stumpline.functions.scan import Running, Total, hot_groups, hot_rows_limit, scan
+from stumpline.functions.scan import NO_HOT, Hot, Running, Total, hot_groups, hot_rows_limit, scan
 
 
 def kaplan_meier(
@@ -93,7 +93,7 @@ def _pairs(p: int) -> list[tuple[int, int]]:
     return [(i, j) for i in range(p) for j in range(i, p)]
 
 
-def _risk_sums(df: DataFrame, p: int, beta: np.ndarray, hot: list[tuple]) -> DataFrame:
+def _risk_sums(df: DataFrame, p: int, beta: np.ndarray, hot: Hot) -> DataFrame:
     """Per duration: sums over its rows and over its deaths of w, w x, w x x', then sums still at risk."""
     eta = F.lit(0.0)
     for i in range(p):
@@ -108,12 +108,9 @@ def _risk_sums(df: DataFrame, p: int, beta: np.ndarray, hot: list[tuple]) -> Dat
     aggs += [F.sum(F.when(dead, F.col(f"z{i}")).otherwise(0.0)).alias(f"x_{i}") for i in range(p)]
     aggs.append(F.sum(F.col("e").cast("double")).alias("d"))
     per = rows.groupBy("t").agg(*aggs)
-    ops = {f"r_{k}": Running(F.col(f"a_{k}")) for k in terms} | {f"t_{k}": Total(F.col(f"a_{k}")) for k in terms}
-    run = scan(per, [], ["t"], hot, **ops)
-    left = {k: F.col(f"t_{k}") - F.col(f"r_{k}") + F.col(f"a_{k}") for k in terms}
-    return run.filter("d > 0").select(
-        "d", *[v.alias(k) for k, v in left.items()], *[f"d_{k}" for k in terms], *[f"x_{i}" for i in range(p)]
-    )
+    # From the longest duration down, what is still at risk is a running sum and nothing cancels.
+    run = scan(per, [], [F.desc("t")], hot, **{k: Running(F.col(f"a_{k}")) for k in terms})
+    return run.filter("d > 0").select("d", *terms, *[f"d_{k}" for k in terms], *[f"x_{i}" for i in range(p)])
 
 
 def _efron(p: int, beta: np.ndarray):
@@ -249,7 +246,7 @@ def concordance_index(df: DataFrame, duration: str, event: str, risk: str) -> Da
     overall = fold.groupBy(*place).agg(F.sum("c").alias("c"), F.sum(died).alias("e"))
     # Groups below hold one row per place, so few places leave no group too large.
     few = overall.count() <= hot_rows_limit(df)
-    known: list[tuple] | None = [] if few else None
+    known = NO_HOT if few else None
     pairs = scan(overall, [], place, known, _u=Running(F.col("c")), _a=Total(F.col("c"))).agg(
         F.sum(F.col("e") * later("_a", "_u")).alias("pairs")
     )

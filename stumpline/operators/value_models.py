@@ -63,11 +63,11 @@ def _derivatives(v: np.ndarray, p: int, h: float) -> tuple[np.ndarray, np.ndarra
 
 
 def maximise(
-    counts: DataFrame, loglik: LogLik, start: np.ndarray, penalizer: float, max_iter: int = 40, tolerance: float = 1e-7
+    counts: DataFrame, loglik: LogLik, start: np.ndarray, penalizer: float, max_iter: int = 200, tolerance: float = 1e-7
 ) -> tuple[np.ndarray, float]:
     """Damped Newton on log parameters. Each round is two jobs over the folded rows.
 
-    The penalty is on the squared parameters; the objective is the mean log-likelihood.
+    Raises when ``max_iter`` rounds do not suffice. The penalty is on the squared parameters; the objective is the mean log-likelihood.
     """
     weight = counts.agg(F.sum("weight")).first()[0]
     if not weight:
@@ -100,6 +100,8 @@ def maximise(
         x, best = tried[score.argmax()], score.max()
         if gain < tolerance and np.abs(grad).max() < 1e-4:
             break
+    else:
+        raise RuntimeError(f"no convergence in {max_iter} rounds")
     return x, float(best)
 
 

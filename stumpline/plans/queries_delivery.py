@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stumpline.functions.scan import hot_groups
+from stumpline.functions.scan import Hot, hot_groups
 from stumpline.operators import aggregates as agg
 from stumpline.operators import clean, state
 from stumpline.plans import bridge
@@ -422,7 +422,7 @@ SELECT *, CASE WHEN innings = 2 THEN LEAST(GREATEST(COALESCE(required_run_rate,
 FROM st2""")
 
 
-def big_innings(spark: SparkSession, folder: str) -> list[tuple]:
+def big_innings(spark: SparkSession, folder: str) -> Hot:
     """Oversized innings of the feed, found once and passed to the operators that need them."""
     return hot_groups(bridge.deliveries(spark, folder), state.INNINGS)
 

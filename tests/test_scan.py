@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from stumpline.functions import scan as scans
 from stumpline.functions.quantiles import exact_quantiles, with_scalars
 from stumpline.functions.scan import Lag, RowNumber, Running, Since, Total, Trailing, hot_groups, lookup, scan
 
@@ -80,7 +81,27 @@ def test_lookup_spreads_hot_keys(spark, rows, hot):
     out = lookup(df, other, ["k"])
     got = {(r["k"], r["i"], r["x"]) for r in out.collect()}
     assert got == {(r["k"], r["i"], {"a": 1, "b": 2}.get(r["k"])) for r in df.collect()}
-    assert [h[0] for h in hot_groups(df, ["k"])][0] == "a"
+    assert hot_groups(df, ["k"]).listed[0][0] == "a"
+
+
+def test_hot_groups_beyond_the_list_are_split_too(rows, hot, monkeypatch):
+    data, df = rows
+    hot(20)
+    monkeypatch.setattr(scans, "MAX_LISTED", 1)
+    monkeypatch.setattr(scans, "MAX_BROADCAST_ROWS", 0)
+    found = hot_groups(df, ["k"])
+    assert (found.groups, len(found.listed), found.more.count()) == (4, 1, 4)
+    got = scan(df, ["k"], ["i"], **ops()).select("k", "i", *ops()).collect()
+    assert {tuple(r) for r in got} == expected(data)
+
+
+def test_grown_table_is_counted_again(spark, hot, tmp_path):
+    hot(100)
+    path = f"{tmp_path}/t"
+    spark.range(80).selectExpr("1 AS k", "id").write.parquet(path)
+    assert not hot_groups(spark.read.parquet(path), ["k"])
+    spark.range(80).selectExpr("1 AS k", "id + 100 AS id").write.mode("append").parquet(path)
+    assert hot_groups(spark.read.parquet(path), ["k"]).rows == 160
 
 
 def test_scalars(spark):
