@@ -275,7 +275,7 @@ def transition_counts(trans: DataFrame) -> DataFrame:
     )
 
 
-def batch_q_iteration(counts: DataFrame, gamma: float = 0.85, tolerance: float = 1e-8, sweeps: int = 1_000) -> DataFrame:
+def batch_q_iteration(counts: DataFrame, gamma: float = 0.85, tolerance: float = 1e-12, sweeps: int = 1_000) -> DataFrame:
     """The fixed point of Q(s, a) = mean of r + gamma max Q(s', .) over the logged transitions.
 
     The log is folded to one row per (state, action, next state); state keys are bounded by MAX_STATE_KEYS, which

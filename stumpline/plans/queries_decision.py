@@ -169,7 +169,17 @@ def mean_policy(spark: SparkSession, folder: str) -> DataFrame:
 query("policy", "state_key:s q0:d q1:d q2:d action:i action_name:s confidence:d spread_confidence:d", "SELECT * FROM po", "po")(mean_policy)
 
 
-@query("batch_q_iteration", "state_key:s action:i q:d")
+@query(
+    "batch_q_iteration", "state_key:s action:i q:d",
+    """WITH RECURSIVE cnt AS (SELECT state_key, action, next_state_key, COUNT(*) AS n, SUM(reward) AS r FROM tr GROUP BY state_key, action, next_state_key),
+       pair AS (SELECT state_key, action, SUM(n) AS n, SUM(r) / SUM(n) AS r FROM cnt GROUP BY state_key, action),
+       it AS (SELECT 0 AS k, state_key, action, 0::DOUBLE AS q FROM pair UNION ALL
+         SELECT MAX(s.k) + 1, c.state_key, c.action, MAX(p.r) + 0.85::DOUBLE * SUM(c.n * COALESCE(v.v, 0)) / MAX(p.n)
+         FROM cnt c JOIN pair p USING (state_key, action) JOIN (SELECT MAX(k) AS k FROM it) s ON s.k < 200
+         LEFT JOIN (SELECT state_key, MAX(q) AS v FROM it GROUP BY state_key) v ON v.state_key = c.next_state_key GROUP BY c.state_key, c.action)
+       SELECT state_key, action, q FROM it WHERE k = 200""",
+    "tr",
+)
 def _(spark, folder):
     return de.batch_q_iteration(de.transition_counts(logged(spark, folder)))
 

@@ -16,7 +16,7 @@ USUAL = (
     "merge_sources", "load_all_matches", "dedup_lineitem", "clean_events", "cleaning_audit", "event_state", "over_level",
     "player_level", "match_context", "pressure_profile", "derive_pressure_features", "silhouette", "davies_bouldin",
     "name_archetypes_counts", "similar_players", "rank_for_situation", "transitions", "policy", "nearest_state",
-    "rank_candidates_context", "counterfactual", "excitement_density_extended", "ad_tiers_by_season", "peak_detect",
+    "rank_candidates_context", "batch_q_iteration", "counterfactual", "excitement_density_extended", "ad_tiers_by_season", "peak_detect",
     "revenue_resample", "hot_zones", "user_features_src", "kaplan_meier_by_streak", "segment_4", "revenue_impact_net",
 )
 HOT = ("event_state", "cap_wickets", "pressure_profile", "transitions", "clv_quartile", "concordance_continuous", "ad_tiers", "rank_candidates_context", "recommend_by_policy")
