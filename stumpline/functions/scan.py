@@ -12,7 +12,6 @@ routes give the same rows.
 
 from __future__ import annotations
 
-import uuid
 from collections import OrderedDict
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -20,7 +19,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stumpline.session import ensure_checkpoint_dir, shared_folder
+from stumpline.session import ensure_checkpoint_dir, stored
 
 HOT_ROWS_CONF = "spark.stumpline.hotGroupRows"
 HOT_ROWS_DEFAULT = 1_000_000
@@ -125,10 +124,7 @@ def _found(counts: DataFrame, keys: Sequence[str]) -> Hot:
     top = [tuple(r) for r in counts.orderBy(F.desc("_n"), *keys).limit(MAX_LISTED + 1).collect()]
     if len(top) <= MAX_LISTED:
         return Hot(top, None, len(top), sum(r[-1] for r in top))
-    spark = counts.sparkSession
-    path = f"{shared_folder(spark)}/hot-{uuid.uuid4().hex}"
-    counts.write.parquet(path)
-    table = spark.read.schema(counts.schema).parquet(path)
+    table = stored(counts, "hot")
     total = table.agg(F.count(F.lit(1)).alias("groups"), F.sum("_n").alias("rows")).first()
     return Hot(top[:MAX_LISTED], table.select(*keys), total["groups"], total["rows"])
 

@@ -17,6 +17,7 @@ from stumpline.functions.exprs import boundary_ball, clip, flag_sum
 from stumpline.functions.quantiles import with_scalars
 from stumpline.functions.scan import Hot, Lag, RowNumber, Running, Total, Trailing, hot_groups, scan
 from stumpline.operators.state import INNINGS, delivery_order
+from stumpline.session import stored
 
 # The fourteen state dimensions, in order.
 STATE_COLUMNS = (
@@ -284,7 +285,8 @@ def batch_q_iteration(counts: DataFrame, gamma: float = 0.85, tolerance: float =
     do not suffice, the job fails. A next state that was never left has value 0.
     """
     log = counts.groupBy("state_key", "action", "next_state_key").agg(F.sum("n").alias("n"), F.sum("reward_sum").alias("reward_sum"))
-    if counts.select("state_key").distinct().limit(MAX_STATE_KEYS + 1).count() > MAX_STATE_KEYS:
+    log = stored(log, "transitions")
+    if log.select("state_key").distinct().limit(MAX_STATE_KEYS + 1).count() > MAX_STATE_KEYS:
         raise ValueError("state keys are not discretised")
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -435,8 +437,8 @@ def rank_candidates_context(
     """Batters ranked for each context (``context_id``, ``phase_code``, ``required_run_rate``) of a table.
 
     A batter is judged by how they outpaced the rate: on deliveries of the same phase within three runs an over,
-    or on all their deliveries where none is alike. The log is folded to (batter, phase, rate); contexts meet it
-    through bands of the rate, once per distinct (phase, rate). Batters without alike deliveries come in one order
+    or on all their deliveries where none is alike. The log is folded to (batter, phase, rate), stored once; contexts
+    meet it through bands of the rate, once per distinct (phase, rate). Batters without alike deliveries come in one order
     for all contexts, so a top ``n`` takes only the first ``n`` and as many more as the context has alike ones.
     Without ``n`` every batter is listed for every context. ``context_id`` is unique.
     """
@@ -448,6 +450,7 @@ def rank_candidates_context(
         .groupBy(c("batter").alias("player"), c("s7_phase_code").alias("phase"), c("s4_required_run_rate").alias("rate"))
         .agg(*sums("s8_runs_last_6_balls"), F.count("s4_required_run_rate").alias("n_rate"))
     )
+    folded = stored(folded, "folded")
     runs, known = F.sum("sum_s8_runs_last_6_balls"), F.sum("n_s8_runs_last_6_balls")
     mean = lambda total, many: F.when(many > 0, total / many)
     means = (
