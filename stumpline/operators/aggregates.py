@@ -17,8 +17,9 @@ OVER_KEYS = ("match_id", "innings", "batting_team", "over")
 
 
 def over_level(df: DataFrame) -> DataFrame:
-    """Per (match, innings, team, over) counts with running score and wickets."""
+    """Per (match, innings, team, over) counts with running score and wickets, and the season where there is one."""
     wide = bowled_wide()
+    season = [F.min("season").alias("season")] if "season" in df.columns else []
     per = (
         df.dropna(subset=list(OVER_KEYS))
         .groupBy(*OVER_KEYS)
@@ -32,6 +33,7 @@ def over_level(df: DataFrame) -> DataFrame:
             F.sum("extras").alias("extras"),
             F.sum("wides").alias("wides"),
             F.sum("noballs").alias("noballs"),
+            *season,
         )
     )
     return running_score(per)

@@ -476,7 +476,7 @@ def _(spark, folder):
 cte("ov0", "d", """
 SELECT match_id, innings, batting_team, over_no, SUM(runs) AS runs_scored, SUM(wickets) AS wickets, SUM(bnd) AS boundaries,
   SUM(CASE WHEN runs_off_bat >= 6 AND wides = 0 THEN 1 ELSE 0 END) AS sixes, SUM(dot) AS dot_balls, SUM(legal) AS total_balls,
-  SUM(extras) AS extras, SUM(wides) AS wides, SUM(noballs) AS noballs FROM d GROUP BY match_id, innings, batting_team, over_no""")
+  SUM(extras) AS extras, SUM(wides) AS wides, SUM(noballs) AS noballs, MIN(season) AS season FROM d GROUP BY match_id, innings, batting_team, over_no""")
 cte("ov", "ov0", """
 SELECT *, SUM(runs_scored) OVER w AS cumulative_score, SUM(wickets) OVER w AS cumulative_wickets FROM ov0
 WINDOW w AS (PARTITION BY match_id, innings ORDER BY batting_team, over_no ROWS UNBOUNDED PRECEDING)""")

@@ -80,9 +80,9 @@ def _(spark, folder):
     return en.ad_tiers(excited(spark, folder), peak=0.75)
 
 
-@query("ad_tiers_by_season", TIERS, _tier_sql(75, "PARTITION BY innings"), "ex")
+@query("ad_tiers_by_season", TIERS, _tier_sql(75, "PARTITION BY season"), "ex")
 def _(spark, folder):
-    return en.ad_tiers(excited(spark, folder), peak=0.75, season="innings")
+    return en.ad_tiers(excited(spark, folder), peak=0.75, season="season")
 
 
 @query(
