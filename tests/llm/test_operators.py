@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from stumpline.llm import bytescan, decontaminate, graph, language_model, lines, packing, quality, sharding, simhash, spotsigs, toxicity, warc
+from stumpline.llm.common import remainder
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp string, n long"
 
@@ -262,6 +263,18 @@ def test_hashes_tell_words_apart_and_do_not_depend_on_place():
     assert row.tolist() == [0, 0, 0, 3] and h[0] == h[2] and h[1] == h[3] and h[0] != h[1]
 
 
+def test_toxicity_skips_only_the_labelled_text_that_does_not_fit(spark, monkeypatch):
+    rows = [(i, "bad words" if i % 2 else "good words", "en") for i in range(60)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    taken = [r.doc_id for r in table.filter(remainder("doc_id", 5) != 0).orderBy(F.xxhash64("doc_id", F.lit("sample"))).collect()]
+    long = table.withColumn("text", F.when(F.col("doc_id") == taken[0], F.repeat(F.lit("long "), 500)).otherwise(F.col("text")))
+    monkeypatch.setattr(toxicity, "FIT_WORDS", 400)
+    net = toxicity.train(long, labels)
+    bad, good = toxicity.score_array(pa.array(["bad words", "good words"]), net)
+    assert bad > 0.5 > good
+
+
 def test_empty_tables(spark, docs):
     none, bench, labels = docs.limit(0), spark.createDataFrame([], "item_id long, text string"), spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert simhash.near_duplicates(none).count() == 0
