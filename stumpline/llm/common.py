@@ -56,8 +56,8 @@ def labelled_sample(
     """About ``rows`` labelled documents outside the held-out fold: ``_text``, ``_label``, ``_order`` and ``extra``.
 
     The sample is a range of hashed ids, the same in every run. At most ``rows`` labels (plus chance) are
-    broadcast, so the texts are never shuffled. Labels that are null are left out; of repeated labels the
-    largest counts.
+    broadcast, and of a repeated id the text with the smallest hash counts, chosen in each task before the shuffle.
+    Labels that are null are left out; of repeated labels the largest counts.
     """
     known = (
         labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & (remainder("doc_id", held_out) != 0))
@@ -69,7 +69,9 @@ def labelled_sample(
     if there > rows:
         known = known.filter(F.pmod("_order", F.lit(1_000_000)) < int(1e6 * rows / there))
     texts = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("_text"), *extra)
-    return texts.join(F.broadcast(known), "doc_id").drop("doc_id")
+    found = texts.join(F.broadcast(known), "doc_id")
+    one = F.min(F.struct(F.xxhash64("_text").alias("_hash"), *extra, "_text", "_label", "_order")).alias("r")
+    return found.groupBy("doc_id").agg(one).select("r._text", "r._label", "r._order", *(f"r.{c}" for c in extra))
 
 
 def per_batch(fn: Callable[[pa.RecordBatch], pa.RecordBatch]) -> Callable[[Iterator], Iterator]:

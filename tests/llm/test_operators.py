@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from stumpline.llm import bytescan, decontaminate, graph, language_model, lines, packing, quality, sharding, simhash, spotsigs, toxicity, warc
-from stumpline.llm.common import remainder
+from stumpline.llm.common import labelled_sample, remainder
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp string, n long"
 
@@ -275,6 +275,15 @@ def test_toxicity_skips_only_the_labelled_text_that_does_not_fit(spark, monkeypa
     assert bad > 0.5 > good
 
 
+def test_a_labelled_id_with_many_rows_gives_one_text(spark):
+    table = spark.range(400).select(F.when(F.col("id") < 300, 1).otherwise(F.col("id")).alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"), F.lit("en").alias("lang"))
+    labels = spark.createDataFrame([(1, 1), *((i, 0) for i in range(300, 400))], "doc_id long, toxic int")
+    got = labelled_sample(table, labels, "toxic", 8000, extra=("lang",)).collect()
+    want = labels.filter(remainder("doc_id", 5) != 0).count()
+    first = table.filter("doc_id = 1").orderBy(F.xxhash64("text")).first().text
+    assert len(got) == want and [r._text for r in got if r._label == 1] == [first] * (zlib.crc32(b"1") % 5 != 0)
+
+
 def test_empty_tables(spark, docs):
     none, bench, labels = docs.limit(0), spark.createDataFrame([], "item_id long, text string"), spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert simhash.near_duplicates(none).count() == 0
