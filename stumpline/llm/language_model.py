@@ -109,7 +109,7 @@ class Common:
 
 
 def _common(counts: DataFrame) -> Common:
-    """The most frequent words as far as ``COMMON`` allows, by a histogram of their counts."""
+    """The most frequent words as far as ``COMMON`` allows, by a histogram of their counts; always the end and the top ones."""
     level = F.when(F.col("n") < 1000, F.col("n")).otherwise((1000 + F.floor(F.log(F.col("n") / 1000.0) * 50)).cast("long"))
     leveled = counts.withColumn("level", level)
     room, floor = COMMON, None
@@ -119,9 +119,13 @@ def _common(counts: DataFrame) -> Common:
             break
         floor = r.level
     none = np.zeros(0, np.int64)
-    if floor is None:
+    top = counts.filter(F.col("word") != int(_END_WORD)).orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
+    wanted = F.col("word").isin([int(_END_WORD), *(r.word for r in top)])
+    if floor is not None:
+        wanted |= F.col("level") >= floor
+    rows = leveled.filter(wanted).select("word", "n").toArrow()
+    if not rows.num_rows:
         return Common(none, none, none)
-    rows = leveled.filter(F.col("level") >= floor).select("word", "n").toArrow()
     word, n = (rows.column(c).to_numpy() for c in ("word", "n"))
     order = np.argsort(word.view(np.uint64))
     word, n = word[order], n[order]

@@ -284,6 +284,17 @@ def test_a_labelled_id_with_many_rows_gives_one_text(spark):
     assert len(got) == want and [r._text for r in got if r._label == 1] == [first] * (zlib.crc32(b"1") % 5 != 0)
 
 
+def test_language_model_knows_the_end_beyond_the_broadcast_words(spark, monkeypatch):
+    text = " ".join(f"w{i}" for i in range(300)) + " twice twice"
+    rows = spark.createDataFrame([(i, text) for i in range(3) if zlib.crc32(str(i).encode()) % 10], "doc_id long, text string")
+    monkeypatch.setattr(language_model, "COMMON", 10_000)
+    want = language_model.scores(rows).first()
+    monkeypatch.setattr(language_model, "COMMON", 0)
+    got = language_model.scores(rows).first()
+    assert want.n_known == want.n_tokens == got.n_known
+    assert math.isclose(got.base_score, want.base_score) and math.isclose(got.score, want.score, rel_tol=1e-6)
+
+
 def test_empty_tables(spark, docs):
     none, bench, labels = docs.limit(0), spark.createDataFrame([], "item_id long, text string"), spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert simhash.near_duplicates(none).count() == 0
