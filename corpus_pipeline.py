@@ -10,7 +10,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stumpline.llm import alike, decontaminate, lines, packing, quality
+from stumpline.llm import decontaminate, lines, packing, quality, simhash
 from stumpline.llm.common import table
 from stumpline.session import shared_folder
 
@@ -26,8 +26,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: five-word shingles, Jaccard of 0.8 or more."""
-    return alike.keep_one(docs)
+    """One document of each group of near copies stays: three-word shingles, fingerprints at most two bits apart."""
+    return simhash.keep_one(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
