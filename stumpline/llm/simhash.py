@@ -118,23 +118,21 @@ def near_duplicates(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
-    """The rows of ``docs`` without near duplicates: of each component the row with the smallest doc_id stays."""
-    prints = fingerprints(docs)
-    return one_each(docs, prints, component_ids(prints, bucket))
-
+    """The rows of ``docs`` without near duplicates: of each component the row with the smallest doc_id stays.
 
-def one_each(docs: DataFrame, prints: DataFrame, roots: DataFrame) -> DataFrame:
-    """The row of ``docs`` with the smallest doc_id for each ``root`` of ``roots`` (``fp``, ``root``).
-
-    Of rows with that id the one with the smallest text hash stays, and of fully repeated rows one.
+    Of rows with that id the one with the smallest text hash stays, and of rows with equal ids and texts one.
     """
-    rows = prints.groupBy("fp", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("_n"))
-    order = F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "text_hash", F.col("_n"))
+    prints = fingerprints(docs)
+    roots = component_ids(prints, bucket).select("fp", "root")
+    rows = prints.groupBy("fp", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
+    order = F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "text_hash", "n")
     best = rows.join(roots, "fp").groupBy("root").agg(F.min(order).alias("r"))
-    best = written(best.select(F.col("r.doc_id").alias("_id"), F.col("r.text_hash").alias("_hash"), F.col("r._n").alias("_n")), "kept")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
-    once = docs.join(best.filter("_n = 1"), same, "left_semi")
-    repeated = best.filter("_n > 1")
+    # Names that no column of the documents is expected to have.
+    kept_id, kept_hash, many = (f"__stumpline_{name}" for name in ("id", "hash", "many"))
+    best = written(best.select(F.col("r.doc_id").alias(kept_id), F.col("r.text_hash").alias(kept_hash), F.col("r.n").alias(many)), "kept")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(kept_id)) & (F.xxhash64("text") == F.col(kept_hash))
+    once = docs.join(best.filter(F.col(many) == 1), same, "left_semi")
+    repeated = best.filter(F.col(many) > 1)
     if repeated.isEmpty():
         return once
     return once.unionByName(docs.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"]))

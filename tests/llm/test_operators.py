@@ -65,43 +65,13 @@ def test_simhash_matches_all_pairs(docs, texts, bucket):
 
 
 def test_simhash_keeps_one_of_each_group_and_all_columns(docs):
+    docs = docs.withColumns({"_id": F.lit(1), "_hash": F.lit(2), "n": F.lit(3), "root": F.lit(4)})
     twice = docs.unionByName(docs.filter("doc_id < 9")).unionByName(docs.filter("doc_id = 7").withColumn("doc_id", F.lit(None).cast("long")))
-    kept = simhash.keep_one(twice)
+    kept = corpus_pipeline.simhash_near_dedup(None, twice, "")
     ids = {r.component_id for r in simhash.near_duplicates(docs).collect()}
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted(ids)
 
 
-@pytest.mark.parametrize("bucket", [2, 32])
-def test_pipeline_near_dedup_matches_all_pairs_of_shingle_sets(spark, docs, bucket, monkeypatch):
-    rng = random.Random(9)
-    said = ["".join(rng.choices("abcdefgh", k=4)) for _ in range(400)]
-    base = [rng.choices(said, k=rng.randint(20, 220)) for _ in range(12)]
-    texts = [" ".join(b) for b in base] + [None, "", "one two", "One  two"]
-    for b in base[:6] + base[:1] * 40:  # some edited a little, some a lot; the first one by many
-        w = list(b)
-        for at in rng.sample(range(len(w)), rng.randint(1, max(1, len(w) // 25))):
-            w[at] = "edit"
-        texts.append(" ".join(w))
-    line = " ".join(said[:12])
-    texts += [f"{line} {' '.join(rng.choices(said, k=rng.randint(1, 30)))}" for _ in range(40)]
-
-    def shingles(t):
-        w = re.findall(r"[^\x20\x09-\x0D]+", low(t))
-        return {" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
-
-    sets = [shingles(t) for t in texts]
-    root = list(range(len(sets)))
-    for _ in sets:
-        for i, x in enumerate(sets):
-            root[i] = min([root[i], *(root[j] for j, y in enumerate(sets) if 5 * len(x & y) >= 4 * len(x | y))])
-    table = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
-    monkeypatch.setattr(corpus_pipeline.alike.keep_one, "__defaults__", (bucket,))
-    kept = corpus_pipeline.simhash_near_dedup(spark, table, "")
-    assert kept.columns == table.columns and sorted(r.doc_id for r in kept.collect()) == sorted(set(root))
-    assert len(set(root)) < len(texts) - 20
-    assert corpus_pipeline.simhash_near_dedup(spark, docs.limit(0), "").count() == 0
-
-
 def test_decontamination_matches_a_plain_search(spark, docs, texts):
     item = texts[1]
     items = [(1, item), (2, "be"), (3, None), (4, "..."), (10, item), (None, "the")]
