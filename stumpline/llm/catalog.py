@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stumpline.llm import decontaminate, language_model, lines, packing, quality, sharding, simhash, spotsigs, toxicity, warc
+from stumpline.llm import decontaminate, infill, language_model, lines, packing, quality, sharding, simhash, spotsigs, toxicity, warc
 from stumpline.llm.common import table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,7 @@ QUERIES: dict[str, Build] = {
     "op8_packing": _documents(packing.pack),
     "op9_lm_scoring": _documents(language_model.scores),
     "op10_quality": op10_quality,
+    "op11_infill": _documents(infill.digests),
 }
 
-SQL: dict[str, str] = {"op5_line_dedup": lines.SQL, "op6_sharding": sharding.SQL}
+SQL: dict[str, str] = {"op5_line_dedup": lines.SQL, "op6_sharding": sharding.SQL, "op11_infill": infill.SQL}
