@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stumpline.llm import decontaminate, infill, langid, language_model, lines, packing, quality, sharding, simhash, spotsigs, toxicity, warc
+from stumpline.llm import decontaminate, infill, langid, language_model, lines, packing, periodic, quality, sharding, simhash, spotsigs, toxicity, warc
 from stumpline.llm.common import table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,7 @@ QUERIES: dict[str, Build] = {
     "op9_lm_scoring": _documents(language_model.scores),
     "op10_quality": op10_quality,
     "op11_infill": _documents(infill.digests),
+    "op12_periodic": _documents(periodic.digests),
     "op13_langid": _documents(langid.scores),
 }
 
