@@ -91,7 +91,14 @@ class Since:
     value: Column
 
 
-Op = Running | Total | RowNumber | Lag | Trailing | Since
+@dataclass(frozen=True)
+class Last:
+    """Latest non-null value up to and including the row; null before the first."""
+
+    value: Column
+
+
+Op = Running | Total | RowNumber | Lag | Trailing | Since | Last
 
 
 def hot_rows_limit(df: DataFrame) -> int:
@@ -171,6 +178,8 @@ def _plain(df: DataFrame, keys: Sequence[str], order: Sequence, ops: dict[str, O
             first[name] = F.row_number().over(w).cast("long")
         elif isinstance(op, Lag):
             first[name] = F.lag(op.value, op.n).over(w)
+        elif isinstance(op, Last):
+            first[name] = F.last(op.value, ignorenulls=True).over(upto)
         elif isinstance(op, Trailing):
             first[name] = F.sum(op.value).over(w.rowsBetween(-(op.n - 1), 0))
         else:
@@ -208,6 +217,8 @@ def _sliced(df: DataFrame, keys: Sequence[str], order: Sequence, ops: dict[str,
         if isinstance(op, Since):
             mark = F.when(op.reset, F.col(f"_l_{name}") - op.value)
             local2[f"_b_{name}"] = F.last(mark, ignorenulls=True).over(upto)
+        if isinstance(op, Last):
+            local[f"_l_{name}"] = F.last(op.value, ignorenulls=True).over(upto)
         if isinstance(op, Lag):
             local[f"_l_{name}"] = F.lag(op.value, op.n).over(w)
             local[f"_v_{name}"] = op.value
@@ -222,7 +233,7 @@ def _sliced(df: DataFrame, keys: Sequence[str], order: Sequence, ops: dict[str,
 
     aggs = [F.count(F.lit(1)).alias("_n")]
     for name, op in ops.items():
-        if isinstance(op, (Running, Since)):
+        if isinstance(op, (Running, Since, Last)):
             aggs.append(F.max_by(F.col(f"_l_{name}"), F.col("_rn")).alias(f"_s_{name}"))
         if isinstance(op, Total):
             aggs.append(F.sum(F.col(f"_v_{name}")).alias(f"_s_{name}"))
@@ -243,6 +254,8 @@ def _sliced(df: DataFrame, keys: Sequence[str], order: Sequence, ops: dict[str,
     for name, op in ops.items():
         if isinstance(op, (Running, Since)):
             carry[f"_o_{name}"] = F.coalesce(F.sum(f"_s_{name}").over(before), F.lit(0))
+        if isinstance(op, Last):
+            carry[f"_o_{name}"] = F.last(f"_s_{name}", ignorenulls=True).over(before)
         if isinstance(op, Total):
             carry[f"_o_{name}"] = F.sum(f"_s_{name}").over(all2)
         if isinstance(op, Since):
@@ -272,6 +285,8 @@ def _sliced(df: DataFrame, keys: Sequence[str], order: Sequence, ops: dict[str,
             col = F.col(f"_o_{name}") + here
         elif isinstance(op, Total):
             col = F.col(f"_o_{name}")
+        elif isinstance(op, Last):
+            col = F.coalesce(here, F.col(f"_o_{name}"))
         elif isinstance(op, RowNumber):
             col = F.col("_o_n") + rn
         elif isinstance(op, Since):

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from stumpline.functions.exprs import boundary_ball, clip, flag_sum
 from stumpline.functions.quantiles import with_scalars
-from stumpline.functions.scan import Hot, Lag, RowNumber, Running, Total, Trailing, hot_groups, scan
+from stumpline.functions.scan import Hot, Lag, Last, RowNumber, Running, Total, Trailing, hot_groups, scan
 from stumpline.operators.state import INNINGS, delivery_order
 from stumpline.session import stored
 
@@ -33,8 +33,9 @@ NIGHT_CITIES = ("Mumbai", "Chennai", "Bangalore", "Delhi")
 ROLE_WEIGHTS = {"Batsman": 5, "All-rounder": 3, "Wicketkeeper": 2, "Bowler": 0}
 # Three bins in seven places: no more than this many state keys exist.
 MAX_STATE_KEYS = 3**7
-# Requests, and keys of a value table, that are matched in one pass.
-BLOCK_REQUESTS = 1_000
+# Wickets in hand run from 0 to 10, below 0 where feeds list more wickets; more values than these raise.
+MAX_HANDS = 64
+# Keys of a value table that are matched in one pass.
 BLOCK_KEYS = 20_000
 # Width of a band of required rates, in runs an over; a context reaches two bands.
 RATE_BAND = 6.0
@@ -344,39 +345,39 @@ def policy_action_distribution(pol: DataFrame) -> DataFrame:
     )
 
 
-def _request_array(requests: Sequence[Mapping[str, object]], fields: Mapping[str, str]) -> Column:
-    return F.array(
-        *[
-            F.struct(*[F.lit(r[f]).cast(t).alias(f) for f, t in fields.items()])
-            for r in requests
-        ]
-    )
-
+def nearest_state(states: DataFrame, requests: DataFrame) -> DataFrame:
+    """Closest logged delivery to each (``request_id``, ``required_run_rate``, ``wickets_fallen``) of a table.
 
-def nearest_state(states: DataFrame, requests: Sequence[Mapping[str, object]]) -> DataFrame:
-    """Closest logged delivery to each asked (required rate, wickets fallen).
-
-    The log is folded to one row per distinct (rate, wickets in hand) first. Requests are taken in blocks of
-    ``BLOCK_REQUESTS``; each task keeps one best row per request of a block. ``request_id`` is unique.
+    A nearest join without pairs. The log is folded to one delivery per distinct (wickets in hand, rate). Per value of
+    wickets in hand, of which there are at most ``MAX_HANDS``, requests and log are sorted by rate together, and each
+    request takes the last logged rate before it and the first one after it; the best over all values counts, of
+    equally close deliveries the first. Requests may be many; ``request_id`` is unique. Requests with a null are left out.
     """
-    if not requests:
-        raise ValueError("no requests")
+    c = F.col
     place = ["match_id", "innings", *delivery_order(states)]
-    at = F.struct(*place, "state_key").alias("at")
-    folded = states.groupBy("s4_required_run_rate", "s3_wickets_in_hand").agg(F.min(at).alias("at"))
-    fields = {"request_id": "string", "required_run_rate": "double", "wickets_fallen": "double"}
-    r = F.col("r")
-    gap = F.abs(F.col("s4_required_run_rate") - r["required_run_rate"]) + F.abs(
-        F.lit(10) - F.col("s3_wickets_in_hand") - r["wickets_fallen"]
-    )
-    parts = [
-        folded.withColumn("r", F.explode(_request_array(requests[i : i + BLOCK_REQUESTS], fields)))
-        .groupBy(r["request_id"].alias("request_id"))
-        .agg(F.min(F.struct(gap.alias("distance"), "at")).alias("b"))
-        for i in range(0, len(requests), BLOCK_REQUESTS)
-    ]
-    best = reduce(DataFrame.unionByName, parts).select("request_id", "b.distance", "b.at.*")
-    return best.select("request_id", "distance", *place, "state_key")
+    known = states.select(c("s3_wickets_in_hand").alias("hand"), c("s4_required_run_rate").alias("rate"), F.struct(*place, "state_key").alias("at"))
+    log = stored(known.dropna(subset=["hand", "rate"]).groupBy("hand", "rate").agg(F.min("at").alias("at")), "folded")
+    hands = [r[0] for r in log.select("hand").distinct().limit(MAX_HANDS + 1).collect()]
+    if len(hands) > MAX_HANDS:
+        raise ValueError(f"wickets in hand take more than {MAX_HANDS} values")
+    asked = requests.select(
+        "request_id", c("required_run_rate").cast("double").alias("rate"), c("wickets_fallen").cast("double").alias("fallen")
+    ).dropna(subset=["rate", "fallen"])
+    each = F.explode(F.array(*[F.lit(h) for h in sorted(hands)])) if hands else F.explode(F.array().cast("array<double>"))
+    points = log.select("hand", "rate", F.lit(0).alias("kind"), F.struct("rate", "at").alias("point"))
+    rows = stored(asked.select("*", each.alias("hand"), F.lit(1).alias("kind")).unionByName(points, allowMissingColumns=True), "nearest")
+    hot = hot_groups(rows, ["hand"])
+    # A logged rate equal to the asked one comes before it in both orders.
+    seen = scan(rows, ["hand"], ["rate", "kind"], hot, below=Last(c("point")))
+    seen = scan(seen, ["hand"], [F.desc("rate"), "kind"], hot, above=Last(c("point"))).filter("kind = 1")
+
+    def found(side: str) -> Column:
+        point = c(side)
+        gap = F.abs(point["rate"] - c("rate")) + F.abs(F.lit(10) - c("hand") - c("fallen"))
+        return F.when(point.isNotNull(), F.struct(gap.alias("distance"), point["at"].alias("at")))
+
+    best = seen.groupBy("request_id").agg(F.min(F.least(found("below"), found("above"))).alias("b"))
+    return best.select("request_id", "b.distance", *[c("b.at")[p].alias(p) for p in (*place, "state_key")])
 
 
 def q_key(states: DataFrame) -> DataFrame:

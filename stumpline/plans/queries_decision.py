@@ -192,22 +192,40 @@ def _(spark, folder):
     return de.policy_action_distribution(mean_policy(spark, folder))
 
 
-ASKED = [
-    {"request_id": "a", "required_run_rate": 11.5, "wickets_fallen": 5.0},
-    {"request_id": "b", "required_run_rate": 6.2, "wickets_fallen": 2.0},
-    {"request_id": "c", "required_run_rate": 0.0, "wickets_fallen": 9.0},
-]
+ASKED = [("a", 11.5, 5.0), ("b", 6.2, 2.0), ("c", 0.0, 9.0)]
 _ASKED = "(VALUES ('a', 11.5::DOUBLE, 5.0::DOUBLE), ('b', 6.2::DOUBLE, 2.0::DOUBLE), ('c', 0.0::DOUBLE, 9.0::DOUBLE)) r(request_id, rr, wf)"
+_NEAREST = "request_id:s distance:d match_id:s innings:i over:i ball:i seq:l state_key:s"
 
 
 @query(
-    "nearest_state", "request_id:s distance:d match_id:s innings:i over:i ball:i seq:l state_key:s",
+    "nearest_state", _NEAREST,
     f"""SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY request_id ORDER BY distance, match_id, innings, over_no, ball, seq) AS rn FROM (
         SELECT sv.*, r.request_id, ABS(s4_required_run_rate - rr) + ABS(10 - s3_wickets_in_hand - wf) AS distance FROM sv, {_ASKED})) WHERE rn = 1""",
     "sv",
 )
 def _(spark, folder):
-    return de.nearest_state(keyed(spark, folder), ASKED)
+    asked = spark.createDataFrame(ASKED, "request_id string, required_run_rate double, wickets_fallen double")
+    return de.nearest_state(keyed(spark, folder), asked)
+
+
+cte("nl", "sv", """
+SELECT s3_wickets_in_hand AS hand, s4_required_run_rate AS rate, arg_min(p, p) AS p FROM (
+  SELECT *, {'match_id': match_id, 'innings': innings, 'over_no': over_no, 'ball': ball, 'seq': seq, 'state_key': state_key} AS p FROM sv) GROUP BY 1, 2""")
+
+
+@query(
+    "nearest_state_batch", _NEAREST,
+    """SELECT request_id, m.distance AS distance, m.p.match_id AS match_id, m.p.innings AS innings, m.p.over_no AS over_no, m.p.ball AS ball, m.p.seq AS seq, m.p.state_key AS state_key FROM (
+         SELECT concat_ws('-', o.match_id, o.innings, o.over_no) AS request_id, MIN({'distance': ABS(nl.rate - o.required_run_rate) + ABS(10 - nl.hand - o.wickets_fallen), 'p': nl.p}) AS m
+         FROM os o, nl GROUP BY o.match_id, o.innings, o.over_no)""",
+    "os nl d",
+)
+def _(spark, folder):
+    """Every over's state as a request, against all deliveries."""
+    asked = over_states(spark, folder).select(
+        F.concat_ws("-", "match_id", "innings", "over").alias("request_id"), "required_run_rate", "wickets_fallen"
+    )
+    return de.nearest_state(keyed(spark, folder), asked)
 
 
 cte("qk", "sv", "SELECT DISTINCT CAST(round_even(s4_required_run_rate, 0) AS INTEGER) AS k_rate, CAST(round_even(s3_wickets_in_hand, 0) AS INTEGER) AS k_hand, CAST(round_even(s2_balls_remaining / 10, 0) * 10 AS INTEGER) AS k_balls FROM sv")

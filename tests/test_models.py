@@ -242,3 +242,19 @@ def test_ranking_of_many_contexts_matches_a_plain_one(spark):
             known[phase, rate] = {i + 1: (b, round(-u, 6)) for i, (u, b) in enumerate(sorted(scored)[:2])}
         assert got[name] == known[phase, rate]
     assert de.rank_candidates_context(states, contexts.limit(3)).count() == 3 * len({x[0] for x in log})
+
+
+def test_nearest_deliveries_of_many_requests_match_all_pairs(spark, hot):
+    rng = random.Random(6)
+    log = [("m", 1, i, 1, i, f"k{i}", rng.choice([0.0, round(rng.uniform(0, 20), 1)]), float(rng.randint(0, 10))) for i in range(300)]
+    states = spark.createDataFrame(log, "match_id string, innings int, over int, ball int, seq long, state_key string, s4_required_run_rate double, s3_wickets_in_hand double")
+    asked = [(f"r{i}", rng.choice([0.0, -3.0, 25.0, round(rng.uniform(0, 20), 1)]), float(rng.randint(0, 10))) for i in range(5_000)]
+    requests = spark.createDataFrame([*asked, ("none", None, 3.0)], "request_id string, required_run_rate double, wickets_fallen double")
+    for limit in (10**6, 400):
+        hot(limit)
+        got = {r.request_id: (r.distance, r.seq) for r in de.nearest_state(states, requests).collect()}
+        assert set(got) == {a[0] for a in asked}
+        for name, rate, fallen in asked:
+            assert got[name] == min((abs(x[6] - rate) + abs(10 - x[7] - fallen), x[4]) for x in log)
+    assert de.nearest_state(states.limit(0), requests).count() == 0
+    assert de.nearest_state(states, requests.limit(0)).count() == 0

@@ -15,11 +15,11 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables a
 USUAL = (
     "merge_sources", "load_all_matches", "dedup_lineitem", "clean_events", "cleaning_audit", "event_state", "over_level",
     "player_level", "match_context", "pressure_profile", "derive_pressure_features", "silhouette", "davies_bouldin",
-    "name_archetypes_counts", "similar_players", "rank_for_situation", "transitions", "policy", "nearest_state",
+    "name_archetypes_counts", "similar_players", "rank_for_situation", "transitions", "policy", "nearest_state_batch",
     "rank_candidates_context", "batch_q_iteration", "counterfactual", "excitement_density_extended", "ad_tiers_by_season", "peak_detect",
     "revenue_resample", "hot_zones", "user_features_src", "kaplan_meier_by_streak", "segment_4", "revenue_impact_net",
 )
-HOT = ("event_state", "cap_wickets", "pressure_profile", "transitions", "clv_quartile", "concordance_continuous", "ad_tiers", "rank_candidates_context", "recommend_by_policy")
+HOT = ("event_state", "cap_wickets", "pressure_profile", "transitions", "clv_quartile", "concordance_continuous", "ad_tiers", "rank_candidates_context", "recommend_by_policy", "nearest_state_batch")
 
 
 @pytest.fixture(scope="module")
@@ -50,10 +50,9 @@ def test_hot_route_matches_sql(spark, duck, hot, name):
 
 
 def test_blocks_do_not_change_results(spark, duck, monkeypatch):
-    monkeypatch.setattr(decision, "BLOCK_REQUESTS", 2)
     monkeypatch.setattr(decision, "BLOCK_KEYS", 40)
     monkeypatch.setattr(selection, "BLOCK_TARGETS", 4)
-    for name in ("nearest_state", "nearest_q_key", "similar_players"):
+    for name in ("nearest_q_key", "similar_players"):
         compare(spark, duck, name)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from stumpline.functions import scan as scans
 from stumpline.functions.quantiles import exact_quantiles, with_scalars
-from stumpline.functions.scan import Lag, RowNumber, Running, Since, Total, Trailing, hot_groups, lookup, scan
+from stumpline.functions.scan import Lag, Last, RowNumber, Running, Since, Total, Trailing, hot_groups, lookup, scan
 
 
 @pytest.fixture(scope="module")
@@ -29,6 +29,7 @@ def ops():
         "l5": Lag(v, 5),
         "t12": Trailing(v, 12),
         "s": Since(F.col("w") > 0, v),
+        "seen": Last(F.when(F.col("w") > 0, F.struct("i", "v"))),
     }
 
 
@@ -38,12 +39,13 @@ def expected(data):
         groups.setdefault(k, []).append((i, v, w))
     out = set()
     for k, g in groups.items():
-        total, run, since = sum(v for _, v, _ in g), 0, 0
+        total, run, since, seen = sum(v for _, v, _ in g), 0, 0, None
         for at, (i, v, w) in enumerate(g):
             run += v
             since = v if w else since + v
+            seen = (i, v) if w else seen
             past = lambda n, at=at, g=g: g[at - n][1] if at >= n else None
-            out.add((k, i, run, total, at + 1, past(1), past(5), sum(x[1] for x in g[max(0, at - 11) : at + 1]), since))
+            out.add((k, i, run, total, at + 1, past(1), past(5), sum(x[1] for x in g[max(0, at - 11) : at + 1]), since, seen))
     return out
 
 
