@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
-from functools import reduce
+from collections.abc import Mapping, Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -15,7 +13,7 @@ from pyspark.sql import functions as F
 
 from stumpline.functions.exprs import boundary_ball, clip, flag_sum
 from stumpline.functions.quantiles import with_scalars
-from stumpline.functions.scan import Hot, Lag, Last, RowNumber, Running, Total, Trailing, hot_groups, scan
+from stumpline.functions.scan import NO_HOT, Hot, Lag, Last, RowNumber, Running, Total, Trailing, hot_groups, hot_rows_limit, scan
 from stumpline.operators.state import INNINGS, delivery_order
 from stumpline.session import stored
 
@@ -35,10 +33,11 @@ ROLE_WEIGHTS = {"Batsman": 5, "All-rounder": 3, "Wicketkeeper": 2, "Bowler": 0}
 MAX_STATE_KEYS = 3**7
 # Wickets in hand run from 0 to 10, below 0 where feeds list more wickets; more values than these raise.
 MAX_HANDS = 64
-# Keys of a value table that are matched in one pass.
-BLOCK_KEYS = 20_000
-# Width of a band of required rates, in runs an over; a context reaches two bands.
-RATE_BAND = 6.0
+# Coordinates of a value table's keys, and values that one of them may take.
+Q_AXES = ("k_rate", "k_hand", "k_balls")
+MAX_AXIS = 100_000
+# Phases of play that a table of contexts may ask for.
+MAX_PHASES = 64
 
 
 def state_vector_14d(state: DataFrame, hot: Hot | None = None) -> DataFrame:
@@ -277,43 +276,62 @@ def transition_counts(trans: DataFrame) -> DataFrame:
     )
 
 
-def batch_q_iteration(counts: DataFrame, gamma: float = 0.85, tolerance: float = 1e-12, sweeps: int = 1_000) -> DataFrame:
+def _backup(log: DataFrame, names: list[str], values: np.ndarray, gamma: float) -> DataFrame:
+    """One sweep: ``state_key``, ``action``, ``q`` from the values of the next states, which are broadcast."""
+    table = log.sparkSession.createDataFrame(list(zip(names, values.tolist(), strict=True)), "next_state_key string, _value double")
+    after = F.col("n") * F.coalesce("_value", F.lit(0.0))
+    q = (F.sum("reward_sum") + gamma * F.sum(after)) / F.sum("n")
+    return log.join(F.broadcast(table), "next_state_key", "left").groupBy("state_key", "action").agg(q.alias("q"))
+
+
+def _mixed(points: list[np.ndarray], images: list[np.ndarray]) -> np.ndarray:
+    """The combination of the last images whose distance to the same combination of points is smallest."""
+    gaps = np.stack([b - a for a, b in zip(points, images, strict=True)], axis=1)
+    if gaps.shape[1] == 1:
+        return images[-1]
+    steps = gaps[:, 1:] - gaps[:, :-1]
+    share, *_ = np.linalg.lstsq(steps, gaps[:, -1], rcond=1e-10)
+    return images[-1] - (np.stack(images, axis=1)[:, 1:] - np.stack(images, axis=1)[:, :-1]) @ share
+
+
+def batch_q_iteration(
+    counts: DataFrame, gamma: float = 0.85, tolerance: float = 1e-12, sweeps: int = 1_000, memory: int = 6
+) -> DataFrame:
     """The fixed point of Q(s, a) = mean of r + gamma max Q(s', .) over the logged transitions.
 
-    The log is folded to one row per (state, action, next state); state keys are bounded by MAX_STATE_KEYS, which
-    is checked, so the folded table fits one task and all sweeps run there. A step size would not move the fixed
-    point, so full backups are made until no value is off its own backup by more than ``tolerance``; if ``sweeps``
-    do not suffice, the job fails. A next state that was never left has value 0.
+    Bulk-synchronous sweeps: the log, folded to one row per (state, action, next state), is written once; a sweep
+    broadcasts the values of all states (at most MAX_STATE_KEYS, which is checked), joins them to the log and sums per
+    (state, action); the best action's value per state comes back. The next values are the combination of the last
+    ``memory`` ones that leaves the smallest gap, which takes a fraction of the plain sweeps; where it makes the gap larger,
+    plain sweeps go on. A step size would not move the fixed point, so full backups are made until no state's value is
+    off its own backup by more than ``tolerance``; if ``sweeps`` do not suffice, the job fails. A next state that was
+    never left has value 0.
     """
     log = counts.groupBy("state_key", "action", "next_state_key").agg(F.sum("n").alias("n"), F.sum("reward_sum").alias("reward_sum"))
     log = stored(log, "transitions")
-    if log.select("state_key").distinct().limit(MAX_STATE_KEYS + 1).count() > MAX_STATE_KEYS:
+    names = [r[0] for r in log.select("state_key").distinct().orderBy("state_key").limit(MAX_STATE_KEYS + 1).collect()]
+    if len(names) > MAX_STATE_KEYS:
         raise ValueError("state keys are not discretised")
-
-    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts = list(batches)
-        if not parts:
-            return
-        t = pd.concat(parts)
-        pair, keys = pd.factorize(pd.MultiIndex.from_frame(t[["state_key", "action"]]))
-        state, names = pd.factorize(keys.get_level_values(0))
-        after = pd.Index(names).get_indexer(t["next_state_key"])
-        n = np.bincount(pair, weights=t["n"])
-        reward = np.bincount(pair, weights=t["reward_sum"]) / n
-        share = t["n"].to_numpy(float) / n[pair]
-        q = np.zeros(len(keys))
-        for _ in range(sweeps):
-            best = np.full(len(names), -np.inf)
-            np.maximum.at(best, state, q)
-            goal = reward + gamma * np.bincount(pair, weights=share * np.where(after >= 0, best[after], 0.0))
-            gap, q = np.abs(goal - q).max(), goal
-            if gap <= tolerance:
-                break
-        else:
-            raise RuntimeError(f"values still move by {gap} after {sweeps} sweeps")
-        yield pd.DataFrame({"state_key": keys.get_level_values(0), "action": keys.get_level_values(1), "q": q})
-
-    return log.coalesce(1).mapInPandas(solve, "state_key string, action int, q double")
+    place = {name: i for i, name in enumerate(names)}
+    value, least = np.zeros(len(names)), np.inf
+    points: list[np.ndarray] = []
+    images: list[np.ndarray] = []
+    for _ in range(sweeps):
+        best = _backup(log, names, value, gamma).groupBy("state_key").agg(F.max("q").alias("v")).collect()
+        image = np.zeros(len(names))
+        for r in best:
+            image[place[r["state_key"]]] = r["v"]
+        gap = float(np.abs(image - value).max(initial=0.0))
+        if gap <= tolerance:
+            break
+        if gap > least:
+            points, images = [], []
+        least = min(least, gap)
+        points, images = [*points, value][-memory:], [*images, image][-memory:]
+        value = _mixed(points, images)
+    else:
+        raise RuntimeError(f"values still move by {gap} after {sweeps} sweeps")
+    return _backup(log, names, value, gamma)
 
 
 def policy(q: DataFrame) -> DataFrame:
@@ -391,34 +409,45 @@ def q_key(states: DataFrame) -> DataFrame:
     )
 
 
+def _nearest_along(sources: DataFrame, targets: DataFrame, axis: str) -> DataFrame:
+    """``targets`` with the best of the sources on their line along ``axis``: each costs its distance and the way to it.
+
+    Both are sorted along the line once up and once down, and the cheapest source so far is carried along. On the way up
+    a source at s costs (distance - s) + x at every place x, so its order among the sources does not depend on x.
+    """
+    line = [k for k in Q_AXES if k != axis]
+    x, best = F.col(axis), F.col("best")
+    rows = sources.withColumn("kind", F.lit(0)).unionByName(targets.withColumn("kind", F.lit(1)), allowMissingColumns=True)
+
+    def carried(order: Column, way: Column) -> Column:
+        so_far = Window.partitionBy(*line).orderBy(order, "kind").rowsBetween(Window.unboundedPreceding, 0)
+        first = F.min(F.when(F.col("kind") == 0, F.struct((best["distance"] - way).alias("distance"), best["key"].alias("key")))).over(so_far)
+        return F.when(first.isNotNull(), F.struct((first["distance"] + way).alias("distance"), first["key"].alias("key")))
+
+    both = rows.withColumns({"up": carried(x.asc(), x), "down": carried(x.desc(), -x)}).filter("kind = 1")
+    return both.select(*Q_AXES, F.least("up", "down").alias("best"))
+
+
 def nearest_q_key(states: DataFrame, keys: DataFrame) -> DataFrame:
-    """For every distinct state key the closest key of the value table by L1 distance.
+    """For every distinct state key the closest key of the value table by L1 distance, of equally close keys the smallest.
 
-    Both sides are sets of small integers. The value table is taken in blocks of about ``BLOCK_KEYS`` keys, and
-    the best of all blocks counts; of equally close keys the smallest.
+    A distance transform on the lattice of the keys' coordinates, one axis after another: along each line the cheapest
+    key so far is carried up and down, so the work is linear in lattice points and no two keys are compared. A line
+    has as many points as an axis has values, at most ``MAX_AXIS``, which is checked. Keys with a null are left out.
     """
-    table = keys.select("k_rate", "k_hand", "k_balls").distinct()
-    blocks = max(1, -(-table.count() // BLOCK_KEYS))
-    mine = q_key(states).select("k_rate", "k_hand", "k_balls").distinct()
-    gap = lambda k: (
-        F.abs(k["k_rate"] - F.col("k_rate"))
-        + F.abs(k["k_hand"] - F.col("k_hand"))
-        + F.abs(k["k_balls"] - F.col("k_balls"))
-    )
-    best = F.array_min(F.transform("_keys", lambda k: F.struct(gap(k).alias("distance"), k.alias("key"))))
-    parts = []
-    for i in range(blocks):
-        part = table.filter(F.pmod(F.xxhash64("k_rate", "k_hand", "k_balls"), F.lit(blocks)) == i)
-        packed = part.agg(F.collect_list(F.struct("k_rate", "k_hand", "k_balls")).alias("_keys"))
-        parts.append(with_scalars(mine, packed).select("k_rate", "k_hand", "k_balls", best.alias("b")))
-    found = reduce(DataFrame.unionByName, parts).groupBy("k_rate", "k_hand", "k_balls").agg(F.min("b").alias("b"))
-    return found.select(
-        "k_rate", "k_hand", "k_balls",
-        F.col("b.distance").alias("distance"),
-        F.col("b.key.k_rate").alias("q_rate"),
-        F.col("b.key.k_hand").alias("q_hand"),
-        F.col("b.key.k_balls").alias("q_balls"),
-    )
+    table = keys.select(*Q_AXES).dropna().distinct()
+    asked = stored(q_key(states).select(*Q_AXES).dropna().distinct(), "asked")
+    values = asked.agg(*[F.collect_set(k).alias(k) for k in Q_AXES]).select(*[F.array_sort(k).alias(f"_{k}") for k in Q_AXES])
+    sizes = asked.agg(*[F.count_distinct(k).alias(k) for k in Q_AXES]).first()
+    if max(sizes) > MAX_AXIS:
+        raise ValueError(f"an axis of the keys has more than {MAX_AXIS} values")
+    found = table.withColumn("best", F.struct(F.lit(0).alias("distance"), F.struct(*Q_AXES).alias("key")))
+    for axis in reversed(Q_AXES[1:]):
+        lines = with_scalars(found.select(*[k for k in Q_AXES if k != axis]).distinct(), values.select(f"_{axis}"))
+        found = _nearest_along(found, lines.withColumn(axis, F.explode(f"_{axis}")).select(*Q_AXES), axis)
+    found = _nearest_along(found, asked, Q_AXES[0]).filter("best IS NOT NULL")
+    named = dict(zip(Q_AXES, ("q_rate", "q_hand", "q_balls"), strict=True))
+    return found.select(*Q_AXES, F.col("best.distance").alias("distance"), *[F.col("best.key")[k].alias(v) for k, v in named.items()])
 
 
 def heuristic_decision(rrr: Column, wickets_fallen: Column) -> Column:
@@ -432,6 +461,43 @@ def _uplift() -> Column:
     return F.when(F.col("_rate") > 0, F.col("_recent") / 6.0 - F.col("_rate")).otherwise(0.0)
 
 
+def _exact(value: Column) -> Column:
+    """A decimal with twelve places, so that running sums lose nothing when they are subtracted."""
+    return value.cast("decimal(24,12)")
+
+
+def _alike_pieces(folded: DataFrame, spots: DataFrame, hot: Hot | None) -> tuple[DataFrame, DataFrame]:
+    """Per (player, phase) the stretches of asked rates with the same alike deliveries, and the places of the spots.
+
+    Spots of a phase are numbered by asked rate. In one pass in order of the rate over logged rates and the spots' lower
+    and upper bounds, a logged rate counts the bounds before it: it is alike to the spots from the first one whose upper
+    bound is not below it to the last one whose lower bound is not above it. It enters a player's running sums there
+    and leaves them after; between two such events the sums do not change.
+    """
+    c = F.col
+    lows = spots.select(c("code").alias("phase"), c("low").alias("at"), F.lit(0).alias("kind"), "asked")
+    highs = spots.select(c("code").alias("phase"), c("high").alias("at"), F.lit(2).alias("kind"), "asked")
+    rates = folded.dropna(subset=["rate"]).select("*", c("rate").alias("at"), F.lit(1).alias("kind"))
+    line = lows.unionByName(highs).unionByName(rates, allowMissingColumns=True)
+    counted = scan(
+        line, ["phase"], ["at", "kind", "asked"], hot,
+        _low=Running((c("kind") == 0).cast("long")), _high=Running((c("kind") == 2).cast("long")),
+    )
+    placed = counted.filter("kind = 0").select(c("phase").alias("code"), "asked", c("_low").alias("spot"))
+    sums = {
+        "_runs": _exact(c("sum_s8_runs_last_6_balls")), "_known": c("n_s8_runs_last_6_balls"),
+        "_rates": _exact(c("rate")) * c("n_rate").cast("decimal(12,0)"), "_rated": c("n_rate"), "_rows": F.lit(1),
+    }
+    step = lambda at, enters: F.struct(at.alias("spot"), F.lit(enters).alias("enters"))
+    events = (
+        counted.filter("kind = 1 AND _low > _high")
+        .select("player", "phase", *[v.alias(k) for k, v in sums.items()], F.explode(F.array(step(c("_high") + 1, True), step(c("_low") + 1, False))).alias("e"))
+        .groupBy("player", "phase", c("e.spot").alias("spot"))
+        .agg(*[F.sum(F.when(c("e.enters"), c(k)).otherwise(-c(k))).alias(k) for k in sums])
+    )
+    return events, placed
+
+
 def rank_candidates_context(
     states: DataFrame, contexts: DataFrame, players: Sequence[str] | None = None, n: int | None = None
 ) -> DataFrame:
@@ -439,9 +505,11 @@ def rank_candidates_context(
 
     A batter is judged by how they outpaced the rate: on deliveries of the same phase within three runs an over,
     or on all their deliveries where none is alike. The log is folded to (batter, phase, rate), stored once; contexts
-    meet it through bands of the rate, once per distinct (phase, rate). Batters without alike deliveries come in one order
-    for all contexts, so a top ``n`` takes only the first ``n`` and as many more as the context has alike ones.
-    Without ``n`` every batter is listed for every context. ``context_id`` is unique.
+    are taken once per distinct (phase, rate). Running sums along the rates give a batter's alike deliveries, so each
+    (context, batter) pair costs one row however many deliveries lie in reach. Rates count with twelve decimal places.
+    Batters without alike deliveries come in one order for all contexts, so a top ``n`` takes only the first ``n`` and as
+    many more as the context has alike ones. Without ``n`` every batter is listed for every context. ``context_id`` is
+    unique; phases are at most ``MAX_PHASES``.
     """
     c = F.col
     df = states if players is None else states.filter(c("batter").isin(*players))
@@ -452,59 +520,63 @@ def rank_candidates_context(
         .agg(*sums("s8_runs_last_6_balls"), F.count("s4_required_run_rate").alias("n_rate"))
     )
     folded = stored(folded, "folded")
-    runs, known = F.sum("sum_s8_runs_last_6_balls"), F.sum("n_s8_runs_last_6_balls")
-    mean = lambda total, many: F.when(many > 0, total / many)
-    means = (
-        mean(runs, known).alias("_recent"),
-        mean(F.sum(c("rate") * c("n_rate")), F.sum("n_rate")).alias("_rate"),
-    )
-    overall = folded.groupBy("player").agg(*means)
-    low, high = F.greatest(c("asked") - 3, F.lit(0.0)), c("asked") + 3
-    band = lambda v: F.floor(v / RATE_BAND)
     asked = contexts.select(
         "context_id", c("phase_code").cast("double").alias("code"), c("required_run_rate").cast("double").alias("asked")
     )
-    spots = asked.select("code", "asked").distinct()
-    reach = F.when(high >= low, F.sequence(band(low), band(high)))
-    alike = (
-        spots.withColumns({"low": low, "high": high, "band": F.explode(reach)})
-        .join(folded.withColumn("at", band(c("rate"))), (c("code") == c("phase")) & (c("band") == c("at")))
-        .filter(c("rate").between(c("low"), c("high")))
-        .groupBy("code", "asked", "player")
-        .agg(*means)
-    )
-    whole = overall.select("player", c("_recent").alias("_r"), c("_rate").alias("_q"))
-    near = alike.join(whole, "player").select(
-        "code", "asked", "player", F.coalesce("_recent", "_r").alias("_recent"), F.coalesce("_rate", "_q").alias("_rate")
-    )
-    ordered = scan(
-        overall.withColumn("_up", _uplift()), [], [F.desc("_up"), "player"], hot_groups(overall, []), _place=RowNumber()
-    ).drop("_up")
-    many = near.groupBy(c("code").alias("_c"), c("asked").alias("_a")).agg(F.count(F.lit(1)).alias("_n"))
+    low, high = F.greatest(c("asked") - 3, F.lit(0.0)), c("asked") + 3
+    spots = stored(asked.select("code", "asked").distinct().withColumns({"low": low, "high": high}), "spots")
+    limit = hot_rows_limit(folded)
+    hot = NO_HOT if folded.count() + 2 * spots.count() <= limit else None
+    events, placed = _alike_pieces(folded, spots.filter("high >= low"), hot)
+
+    mean = lambda total, many: F.when(many > 0, total.cast("double") / many.cast("double"))
+    overall = folded.groupBy("player").agg(
+        mean(F.sum("sum_s8_runs_last_6_balls"), F.sum("n_s8_runs_last_6_balls")).alias("_r"),
+        mean(F.sum(c("rate") * c("n_rate")), F.sum("n_rate")).alias("_q"),
+    )
     here = c("code").eqNullSafe(c("_c")) & c("asked").eqNullSafe(c("_a"))
-    counted = with_scalars(spots.join(many, here, "left").drop("_c", "_a"), overall.agg(F.count(F.lit(1)).alias("_all")))
-    wanted = c("_all") if n is None else F.least("_all", F.coalesce("_n", F.lit(0)) + n)
-    places = counted.filter("_all > 0").select("code", "asked", F.explode(F.sequence(F.lit(1).cast("long"), wanted)).alias("_place"))
-    others = places.join(ordered, "_place").drop("_place")
-    taken = near.select(c("code").alias("_c"), c("asked").alias("_a"), c("player").alias("_p"))
-    others = others.join(taken, here & (c("player") == c("_p")), "left_anti")
+    if n is None:
+        # The spots that no delivery is alike to follow the others; every batter has a piece from the first spot on.
+        rest = spots.filter("high < low OR high IS NULL OR code IS NULL").select("code", "asked")
+        ends = placed.unionByName(rest.withColumn("spot", F.lit(None).cast("long")))
+        places = scan(ends, ["code"], [F.asc_nulls_last("spot"), "asked"], hot, spot=RowNumber())
+        phases = places.groupBy("code").agg(F.max("spot").alias("last")).limit(MAX_PHASES + 1).collect()
+        if len(phases) > MAX_PHASES:
+            raise ValueError(f"contexts have more than {MAX_PHASES} phases")
+        edge = F.array(*[F.struct(F.lit(p["code"]).cast("double").alias("phase"), F.lit(at).cast("long").alias("spot")) for p in phases for at in (1, p["last"] + 1)])
+        names = [k for k in events.columns if k.startswith("_")]
+        edges = overall.select("player", F.explode(edge if phases else F.array().cast("array<struct<phase:double,spot:long>>")).alias("e"))
+        edges = edges.select("player", "e.*", *[F.lit(0).cast(events.schema[k].dataType).alias(k) for k in names])
+        events = events.unionByName(edges).groupBy("player", "phase", "spot").agg(*[F.sum(k).alias(k) for k in names])
+    else:
+        places = placed
+    pieces = scan(events, ["player", "phase"], [F.desc("spot")], hot, _until=Lag(c("spot")))
+    names = ("_runs", "_known", "_rates", "_rated", "_rows")
+    pieces = scan(pieces, ["player", "phase"], ["spot"], hot, **{f"{k}_": Running(c(k)) for k in names})
+    pieces = pieces.filter(c("_until").isNotNull() if n is None else c("_rows_") > 0).join(overall, "player")
+    alike = c("_rows_") > 0
+    near = pieces.select(
+        "player", c("phase").alias("_phase"), F.explode(F.sequence(c("spot"), c("_until") - 1)).alias("_spot"),
+        F.coalesce(F.when(alike, mean(c("_runs_"), c("_known_"))), "_r").alias("_recent"),
+        F.coalesce(F.when(alike, mean(c("_rates_"), c("_rated_"))), "_q").alias("_rate"),
+    )
+    at = c("_phase").eqNullSafe(c("code")) & (c("_spot") == c("spot"))
+    scored = near.join(places, at).select("code", "asked", "player", "_recent", "_rate")
+    if n is not None:
+        scored = scored.unionByName(_first_others(spots, scored, overall, n))
     uplift = c("expected_uplift_runs")
     fit = F.when(c("_recent") > 0, clip(F.lit(1.0) / (F.lit(1.0) + F.abs(uplift)), 0.0, 1.0))
-    scored = (
-        near.unionByName(others)
-        .withColumn("expected_uplift_runs", _uplift())
-        .withColumns(
-            {
-                "compatibility": fit.otherwise(0.3),
-                "primary_role": F.when(uplift > 0, "Batter").otherwise("Bowler"),
-                "sr_in_context": F.when(c("_recent") > 0, c("_recent") / 6.0 * 100).otherwise(0.0),
-            }
-        )
-        .drop("_recent", "_rate")
-    )
+    scored = scored.withColumn("expected_uplift_runs", _uplift()).withColumns(
+        {
+            "compatibility": fit.otherwise(0.3),
+            "primary_role": F.when(uplift > 0, "Batter").otherwise("Bowler"),
+            "sr_in_context": F.when(c("_recent") > 0, c("_recent") / 6.0 * 100).otherwise(0.0),
+        }
+    ).drop("_recent", "_rate")
     order = [F.desc("expected_uplift_runs"), "player"]
     if n is None:
-        ranked = scan(scored, ["code", "asked"], order, rank=RowNumber()).withColumn("rank", c("rank").cast("int"))
+        all_hot = NO_HOT if overall.count() <= limit else None
+        ranked = scan(scored, ["code", "asked"], order, all_hot, rank=RowNumber()).withColumn("rank", c("rank").cast("int"))
     else:
         ranked = scored.withColumn("rank", F.row_number().over(Window.partitionBy("code", "asked").orderBy(*order)))
         ranked = ranked.filter(c("rank") <= n)
@@ -512,6 +584,22 @@ def rank_candidates_context(
     return asked.join(ranked, here).drop("code", "asked", "_c", "_a")
 
 
+def _first_others(spots: DataFrame, near: DataFrame, overall: DataFrame, n: int) -> DataFrame:
+    """For each spot the first ``n`` batters, by all their deliveries, that have none alike."""
+    c = F.col
+    whole = overall.select("player", c("_r").alias("_recent"), c("_q").alias("_rate"))
+    ordered = whole.withColumn("_up", _uplift())
+    ordered = scan(ordered, [], [F.desc("_up"), "player"], hot_groups(overall, []), _place=RowNumber()).drop("_up")
+    here = c("code").eqNullSafe(c("_c")) & c("asked").eqNullSafe(c("_a"))
+    many = near.groupBy(c("code").alias("_c"), c("asked").alias("_a")).agg(F.count(F.lit(1)).alias("_n"))
+    counted = with_scalars(spots.select("code", "asked").join(many, here, "left").drop("_c", "_a"), overall.agg(F.count(F.lit(1)).alias("_all")))
+    wanted = F.least("_all", F.coalesce("_n", F.lit(0)) + n)
+    places = counted.filter("_all > 0").select("code", "asked", F.explode(F.sequence(F.lit(1).cast("long"), wanted)).alias("_place"))
+    taken = near.select(c("code").alias("_c"), c("asked").alias("_a"), c("player").alias("_p"))
+    others = places.join(ordered, "_place").drop("_place")
+    return others.join(taken, here & (c("player") == c("_p")), "left_anti").select("code", "asked", "player", "_recent", "_rate")
+
+
 def rank_candidates_roles(
     states: DataFrame, roles: DataFrame, pinch_hitters: Sequence[str] = (), n: int | None = None
 ) -> DataFrame:
@@ -581,12 +669,18 @@ def profile_uplift(profiles: DataFrame, state: Mapping[str, float]) -> DataFrame
 
 
 def recommend(
-    requests: DataFrame, states: DataFrame, pol: DataFrame, model: object | None = None, n: int = 3
+    requests: DataFrame,
+    states: DataFrame,
+    pol: DataFrame,
+    model: object | None = None,
+    n: int = 3,
+    probability: Column | None = None,
 ) -> DataFrame:
     """Decision, confidence and top candidates for a table of asked states.
 
     ``requests`` carries ``request_id`` (unique) and the fourteen dimensions. A state the policy has not seen
-    means no substitution with confidence 0; a benefit probability above 0.7 overrules waiting.
+    means no substitution with confidence 0; a benefit probability above 0.7 overrules waiting. The probability comes
+    from the classifier ``model``, or from the column ``probability`` (a stored score), or is 0.5.
     """
     contexts = requests.select(
         F.col("request_id").alias("context_id"), F.col("s7_phase_code").alias("phase_code"),
@@ -596,7 +690,7 @@ def recommend(
     scored = (
         score_classifier(model, keyed).drop("prediction")
         if model is not None
-        else keyed.withColumn("probability", F.lit(0.5))
+        else keyed.withColumn("probability", F.lit(0.5) if probability is None else probability)
     )
     known = pol.select("state_key", "action", "confidence")
     joined = scored.join(known, "state_key", "left").withColumns(

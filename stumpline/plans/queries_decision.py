@@ -328,7 +328,7 @@ def _(spark, folder):
 
 
 cte("rq", "sv", """
-SELECT match_id AS request_id, state_key, s7_phase_code AS ph, s4_required_run_rate AS rr FROM (
+SELECT match_id AS request_id, state_key, s7_phase_code AS ph, s4_required_run_rate AS rr, ROUND(s12_chase_win_prob, 3) AS prob FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY match_id ORDER BY innings DESC, over_no DESC, ball DESC, seq DESC) AS rn FROM sv) WHERE rn = 1""")
 cte("rq1", "rq sv", f"""
 SELECT request_id, batter AS player, COALESCE(AVG(CASE WHEN {_ALIKE} THEN s8_runs_last_6_balls END), AVG(s8_runs_last_6_balls)) AS recent, COALESCE(AVG(CASE WHEN {_ALIKE} THEN s4_required_run_rate END), AVG(s4_required_run_rate)) AS rate
@@ -343,9 +343,9 @@ def _last_states(states: DataFrame) -> DataFrame:
     return last.select(F.col("match_id").alias("request_id"), "r.*")
 
 
-def _recommended(spark, folder, model=None):
+def _recommended(spark, folder, model=None, probability=None):
     s = keyed(spark, folder)
-    out = de.recommend(_last_states(s), s, mean_policy(spark, folder), model)
+    out = de.recommend(_last_states(s), s, mean_policy(spark, folder), model, probability=probability)
     return out.withColumn("candidates", F.concat_ws(",", F.transform("candidates", lambda c: c["player"])))
 
 
@@ -365,6 +365,17 @@ def _(spark, folder):
     return _recommended(spark, folder)
 
 
+@query(
+    "recommend_by_score", "request_id:s state_key:s substitute_now:b recommended_action:s confidence:d benefit_probability:d candidates:s",
+    """SELECT request_id, state_key, COALESCE(po.action, 0) > 0 OR prob > 0.7::DOUBLE AS substitute_now, COALESCE(po.action_name, 'no_substitution') AS recommended_action,
+       COALESCE(po.confidence, 0) AS confidence, prob AS benefit_probability, candidates FROM rq LEFT JOIN po USING (state_key) LEFT JOIN rq2 USING (request_id)""",
+    "rq rq2 po",
+)
+def _(spark, folder):
+    """The last state of every match, with a stored score (the chance to win the chase) as the probability."""
+    return _recommended(spark, folder, probability=F.round("s12_chase_win_prob", 3))
+
+
 cte("cf0", "sv po", f"""
 SELECT sv.*, COALESCE(po.action, 0) > 0 AND ROW_NUMBER() OVER ({_SEQ}) < COUNT(*) OVER (PARTITION BY match_id, innings) AS acts FROM sv LEFT JOIN po USING (state_key)""")
 cte("cf1", "cf0", "SELECT match_id, innings, MIN(over_no) AS fo, MAX(over_no) AS lo, MIN(CASE WHEN acts THEN over_no END) AS opt, (MIN(over_no) + MAX(over_no)) // 2 AS mid FROM cf0 GROUP BY match_id, innings HAVING COUNT(*) >= 12 AND COUNT(CASE WHEN acts THEN 1 END) > 0")

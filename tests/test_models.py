@@ -193,7 +193,7 @@ def test_q_values_solve_a_two_state_log(spark):
 def test_value_iteration_fails_when_not_converged(spark):
     counts = spark.createDataFrame([("x", 0, "x", 1, 1.0)], "state_key string, action int, next_state_key string, n long, reward_sum double")
     with pytest.raises(Exception, match="still move"):
-        de.batch_q_iteration(counts, sweeps=3).collect()
+        de.batch_q_iteration(counts, sweeps=2).collect()
 
 
 def test_state_buckets_and_gaps(spark):

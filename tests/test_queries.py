@@ -7,7 +7,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check import TABLES, close, rows_of
-from stumpline.operators import decision, selection
+from stumpline.operators import selection
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are absent")
@@ -15,7 +15,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables a
 USUAL = (
     "merge_sources", "load_all_matches", "dedup_lineitem", "clean_events", "cleaning_audit", "event_state", "over_level",
     "player_level", "match_context", "pressure_profile", "derive_pressure_features", "silhouette", "davies_bouldin",
-    "name_archetypes_counts", "similar_players", "rank_for_situation", "transitions", "policy", "nearest_state_batch",
+    "name_archetypes_counts", "similar_players", "rank_for_situation", "transitions", "policy", "nearest_state_batch", "nearest_q_key", "recommend_by_score",
     "rank_candidates_context", "batch_q_iteration", "counterfactual", "excitement_density_extended", "ad_tiers_by_season", "peak_detect",
     "revenue_resample", "hot_zones", "user_features_src", "kaplan_meier_by_streak", "segment_4", "revenue_impact_net",
 )
@@ -50,9 +50,8 @@ def test_hot_route_matches_sql(spark, duck, hot, name):
 
 
 def test_blocks_do_not_change_results(spark, duck, monkeypatch):
-    monkeypatch.setattr(decision, "BLOCK_KEYS", 40)
     monkeypatch.setattr(selection, "BLOCK_TARGETS", 4)
-    for name in ("nearest_q_key", "similar_players"):
+    for name in ("similar_players",):
         compare(spark, duck, name)
 
 
