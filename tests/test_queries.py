@@ -7,7 +7,6 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check import TABLES, close, rows_of
-from stumpline.operators import selection
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are absent")
@@ -49,12 +48,6 @@ def test_hot_route_matches_sql(spark, duck, hot, name):
     compare(spark, duck, name)
 
 
-def test_blocks_do_not_change_results(spark, duck, monkeypatch):
-    monkeypatch.setattr(selection, "BLOCK_TARGETS", 4)
-    for name in ("similar_players",):
-        compare(spark, duck, name)
-
-
 def test_every_sql_text_parses(duck):
     for name, sql in oracle_sql().items():
         duck.execute("EXPLAIN " + sql)
