@@ -9,7 +9,8 @@ of the octave. Tiles are solved alone; their fragments are shuffled by document
 by a period or more are stitched. Windows overlap so far that a run's fragments always do and reach its ends, and two
 runs of one period never do. A fragment whose period is a multiple of a smaller one is left out at the boundary.
 
-Only tiles with a boundary whose first words agree are made, so texts without repetition cost one look per octave.
+Tiles are made only where the first words at a boundary agree, and only for documents and octaves in which as many agree
+as the first boundary of a run has, so texts without repetition cost one look per octave.
 Tiles of a document of more than ``LONG`` words are dealt over all tasks. The words of documents with such tiles, and
 their tiles, are written to the shared folder once. One document's words and runs meet in one task in the end; the
 runs of a text are fewer than its words.
@@ -69,8 +70,18 @@ def _repeated(words: Sequence, tail: tuple[int, int] | None) -> Sequence:
     return words[:a] + (unit * (-(-(len(words) - a) // p)))[: len(words) - a]
 
 
-def agreeing(ids: np.ndarray, at: np.ndarray, end: np.ndarray, octave: int) -> np.ndarray:
-    """Which boundaries ``at`` (of texts that end at ``end``) some period of the octave may start at."""
+def _weak(q: np.ndarray, octave: int) -> np.ndarray:
+    """Words that agree with those one period on where a boundary tells a period."""
+    return q
+
+
+def _strong(q: np.ndarray, octave: int) -> np.ndarray:
+    """Words that agree so at the first boundary of every run, which lies less than two octaves after its start."""
+    return np.maximum(LEAST, TIMES * q) - 2 * octave + 1 - q
+
+
+def agreeing(ids: np.ndarray, at: np.ndarray, end: np.ndarray, octave: int, words: Callable[[np.ndarray, int], np.ndarray]) -> np.ndarray:
+    """Which boundaries ``at`` (of texts that end at ``end``) may have so many agreeing ``words`` for some period of the octave."""
     out = np.zeros(len(at), bool)
     rows = max(1, _CELLS // octave)
     for i in range(0, len(at), rows):
@@ -78,17 +89,20 @@ def agreeing(ids: np.ndarray, at: np.ndarray, end: np.ndarray, octave: int) -> n
         for low in range(octave, 2 * octave, _CELLS):
             q = np.arange(low, min(2 * octave, low + _CELLS))
             far = np.minimum(c[:, None] + q, len(ids) - 1)
-            row, col = np.nonzero((ids[far] == ids[c][:, None]) & (c[:, None] + 2 * q <= stop[:, None]))
+            row, col = np.nonzero((ids[far] == ids[c][:, None]) & (c[:, None] + q + words(q, octave) <= stop[:, None]))
             x, q = c[row], q[col]
-            for step in range(1, min(SCREEN, 2 * octave)):
-                same = (step >= q) | (ids[x + step] == ids[np.minimum(x + q + step, len(ids) - 1)])
+            for step in range(1, SCREEN):
+                same = (step >= words(q, octave)) | (ids[np.minimum(x + step, len(ids) - 1)] == ids[np.minimum(x + q + step, len(ids) - 1)])
                 row, x, q = row[same], x[same], q[same]
             out[i + np.unique(row)] = True
     return out
 
 
 def tiles(ids: np.ndarray, count: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
-    """(text, octave, own start, first word, stop) of every tile worth solving; texts lie one after another in ``ids``."""
+    """(text, octave, own start, first word, stop) of every tile worth solving; texts lie one after another in ``ids``.
+
+    A text has tiles of an octave only if one of its boundaries may be the first of a run.
+    """
     begin = np.cumsum(count) - count
     octave = 1
     while TIMES * octave <= (count.max() if len(count) else 0):
@@ -96,7 +110,10 @@ def tiles(ids: np.ndarray, count: np.ndarray) -> Iterator[tuple[int, int, int, i
         many = count[text] // (2 * octave)
         owner = np.repeat(text, many)
         place = 2 * octave * (np.arange(len(owner)) - np.repeat(np.cumsum(many) - many, many))
-        live = agreeing(ids, begin[owner] + place, (begin + count)[owner], octave)
+        at, end = begin[owner] + place, (begin + count)[owner]
+        able = np.isin(owner, owner[agreeing(ids, at, end, octave, _strong)])
+        owner, place = owner[able], place[able]
+        live = agreeing(ids, at[able], end[able], octave, _weak)
         span = max(2 * octave, SPAN)
         found = np.unique(np.stack([owner[live], place[live] // span], axis=1), axis=0)
         for d, t in found.tolist():
@@ -135,7 +152,7 @@ def solve(ids: np.ndarray, octave: int, own: int) -> list[tuple[int, int, int]]:
     """(period, start, stop) of the fragments in a tile whose own part starts at ``own``, stitched within the tile."""
     span = max(2 * octave, SPAN)
     at = np.arange(own, min(own + span, len(ids) - 2 * octave + 1), 2 * octave)
-    at = at[agreeing(ids, at, np.full(len(at), len(ids)), octave)]
+    at = at[agreeing(ids, at, np.full(len(at), len(ids)), octave, _weak)]
     words = ids.tolist()
     found: dict[int, list[list[int]]] = {}
     for c in at.tolist():
@@ -217,8 +234,8 @@ def tiled(docs: DataFrame, plant: Plant | None = None) -> DataFrame:
 
 def stitched(tiles_: DataFrame, times: int = TIMES, least: int = LEAST) -> DataFrame:
     """``key``, ``text_hash``, ``start``, ``length``, ``period`` of every run, from the fragments of the tiles."""
-    if times < TIMES:
-        raise ValueError(f"a run holds its period at least {TIMES} times")
+    if times < TIMES or least < LEAST:
+        raise ValueError(f"a run holds its period at least {TIMES} times and has at least {LEAST} words")
     cells = tiles_.filter("octave > 0").select("key", "text_hash", "octave", "n", "own", "first", "data")
     few = cells.filter(F.col("n") <= LONG).mapInArrow(per_batch(_fragments), _FRAGMENTS)
     dealt = cells.filter(F.col("n") > LONG).repartition("key", "text_hash", "octave", "own")
