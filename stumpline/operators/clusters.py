@@ -11,13 +11,15 @@ from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import PCA, PCAModel, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stumpline.functions.quantiles import with_scalars
+from stumpline.operators import lloyd
+from stumpline.operators.stages import NearestCentre, ScaledProjection
+from stumpline.session import stored
 
 
 def _add(cols: Sequence[Column]) -> Column:
@@ -97,66 +99,76 @@ def pca_variance(df: DataFrame, projection: Projection) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "axis string, explained_variance_ratio double")
 
 
-def fit_kmeans(df: DataFrame, cols: Sequence[str], k: int, seed: int = 42) -> KMeansModel:
-    return KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(assemble(df, cols))
+def fit_kmeans(df: DataFrame, cols: Sequence[str], k: int, seed: int = 42, steps: int = 300) -> NearestCentre:
+    """Centres that have stopped moving; raises where ``steps`` passes do not suffice."""
+    return nearest_centre(cols, lloyd.fit(lloyd.points_of(df, cols), len(cols), [k], seed, steps=steps)[k])
 
 
-def assign_clusters(df: DataFrame, cols: Sequence[str], model: KMeansModel) -> DataFrame:
-    return model.transform(assemble(df, cols)).drop("features")
+def nearest_centre(cols: Sequence[str], found: lloyd.Clusters) -> NearestCentre:
+    return NearestCentre(features=list(cols), centres=[float(x) for x in found.centres.ravel()])
+
+
+def assign_clusters(df: DataFrame, model: NearestCentre) -> DataFrame:
+    return model.transform(df)
+
+
+def _swept(df: DataFrame, cols: Sequence[str], ks: Sequence[int], seed: int) -> tuple[dict[int, lloyd.Clusters], dict[int, float], int]:
+    points = lloyd.points_of(df, cols)
+    found = lloyd.fit(points, len(cols), list(ks), seed)
+    score = lloyd.silhouettes(points, len(cols), found)
+    return found, score, max(ks, key=lambda k: (score[k], -k))
 
 
 def sweep_k(df: DataFrame, cols: Sequence[str], ks: Sequence[int] = range(2, 9), seed: int = 42) -> DataFrame:
-    """Silhouette and inertia for each k, with the best k flagged."""
-    vectors = assemble(df, cols).select("features").cache()
-    judge = ClusteringEvaluator(featuresCol="features", predictionCol="cluster")
-    rows = []
-    for k in ks:
-        model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(vectors)
-        labelled = model.transform(vectors)
-        found = labelled.select("cluster").distinct().count()
-        rows.append((k, judge.evaluate(labelled) if found > 1 else -1.0, float(model.summary.trainingCost)))
-    vectors.unpersist()
-    best = max(rows, key=lambda r: (r[1], -r[0]))[0]
+    """Silhouette and inertia for each k, with the best k flagged; all k share the passes over the rows."""
+    found, score, best = _swept(df, cols, ks, seed)
     return df.sparkSession.createDataFrame(
-        [(*r, r[0] == best) for r in rows], "k int, silhouette double, inertia double, is_best boolean"
+        [(k, score[k], found[k].inertia, k == best) for k in ks], "k int, silhouette double, inertia double, is_best boolean"
     )
 
 
 @dataclass(frozen=True)
 class ClusterFit:
-    """Scaling, projection and clusters of a player table."""
+    """Scaling with projection and clusters of a player table, as stages; ``pipeline`` can be saved and loaded."""
 
-    scale: DataFrame
     projection: Projection
-    kmeans: KMeansModel
+    scaled: ScaledProjection
+    kmeans: NearestCentre
     labelled: DataFrame
 
+    @property
+    def pipeline(self) -> PipelineModel:
+        return PipelineModel([self.scaled, self.kmeans])
+
     def centers(self) -> list[list[float]]:
-        return [[float(x) for x in c] for c in self.kmeans.clusterCenters()]
+        return self.kmeans.centre_list()
 
     def predict(self, df: DataFrame) -> DataFrame:
         """Cluster (and axes) of players the fit has not seen."""
-        f = self.projection.features
-        z = standardise(df, f, self.scale)
-        keep = [c for c in df.columns if c not in f]
-        placed = assign_clusters(self.projection.apply(z), self.projection.axes, self.kmeans)
-        return placed.select(*keep, *self.projection.axes, "cluster")
+        return self.pipeline.transform(df).drop(*self.projection.features)
 
 
 def fit_clusters(
     df: DataFrame, features: Sequence[str], k: int | None = None, components: int = 3, seed: int = 42
 ) -> ClusterFit:
-    """Scale, project, choose k on the projected space when it is not given, cluster there."""
-    scale = feature_scale(df, features)
-    z = standardise(df, features, scale)
-    projection = fit_pca(z, features, components)
-    raw = df.withColumns({f"_raw_{f}": F.col(f) for f in features})
-    placed = projection.apply(standardise(raw, features, scale))
-    restored = placed.drop(*features).withColumnsRenamed({f"_raw_{f}": f for f in features})
+    """Scale, project, choose k on the projected space when it is not given, cluster there.
+
+    The table is written once, and everything is fitted on what was written.
+    """
+    players = stored(df, "players")
+    scale = feature_scale(players, features).first()
+    projection = fit_pca(standardise(players, features), features, components)
+    scaled = ScaledProjection(
+        features=list(features), means=[scale[f"_mean_{f}"] for f in features], deviations=[scale[f"_std_{f}"] for f in features],
+        axes=projection.axes, loadings=[float(x) for x in projection.loadings.ravel()],
+    )
+    placed = scaled.transform(players)
     if k is None:
-        k = sweep_k(restored, projection.axes, seed=seed).filter("is_best").first()["k"]
-    model = fit_kmeans(restored, projection.axes, k, seed)
-    return ClusterFit(scale, projection, model, assign_clusters(restored, projection.axes, model))
+        found, _, best = _swept(placed, projection.axes, range(2, 9), seed)
+        model = nearest_centre(projection.axes, found[best])
+    else:
+        model = fit_kmeans(placed, projection.axes, k, seed)
+    return ClusterFit(projection, scaled, model, model.transform(placed))
 
 
 # --- cluster quality ------------------------------------------------------------------------------

@@ -12,6 +12,7 @@ from stumpline.operators import selection as sel
 from stumpline.plans import bridge
 from stumpline.plans.queries_delivery import big_innings, context, legacy, states
 from stumpline.plans.registry import cte, query
+from stumpline.session import stored
 from stumpline.sources import store
 
 # --- profile from deliveries ----------------------------------------------------------------------
@@ -258,26 +259,43 @@ def _(spark, folder):
     return cl.archetype_summary(named).withColumn("members", F.concat_ws(",", "members"))
 
 
-# --- fitted clusters ------------------------------------------------------------------------------
+# --- fitted clusters, on the pressure profiles ------------------------------------------------------
+
+cte("pz", "prof", "SELECT player, i, CASE WHEN STDDEV_POP(x) OVER (PARTITION BY i) > 0 THEN (x - AVG(x) OVER (PARTITION BY i)) / STDDEV_POP(x) OVER (PARTITION BY i) ELSE 0 END AS z FROM (" + " UNION ALL ".join(
+    f"SELECT player, {i} AS i, COALESCE({f}, 0)::DOUBLE AS x FROM prof" for i, f in enumerate(pr.PROFILE_FEATURES)) + ")")
+cte("pcc1", "pz", "SELECT a.i, b.i AS j, AVG(a.z * b.z) AS x FROM pz a JOIN pz b USING (player) GROUP BY a.i, b.i")
+for _k in (1, 2, 3):
+    # Squaring a matrix again and again leaves the first axis; what it explains is taken out for the next.
+    cte(f"pca{_k}", f"pcc{_k}", f"""
+WITH RECURSIVE it AS (SELECT 0 AS k, i, j, x / (SELECT SUM(x) FROM pcc{_k} WHERE i = j) AS x FROM pcc{_k} UNION ALL
+  SELECT MAX(a.k) + 1, a.i, b.j, SUM(a.x * b.x) / (SELECT SUM(x * x) FROM it) FROM it a JOIN it b ON a.j = b.i WHERE a.k < 16 GROUP BY a.i, b.j)
+SELECT i, j, x FROM it WHERE k = 16""")
+    cte(f"pcl{_k}", f"pca{_k}", f"SELECT m.i, m.x / SQRT(d.x) AS pc{_k} FROM pca{_k} m JOIN (SELECT i, x FROM pca{_k} WHERE i = j ORDER BY x DESC LIMIT 1) d ON m.j = d.i")
+    cte(f"pcv{_k}", f"pcc{_k} pca{_k} pcc1", f"SELECT 'pc{_k}' AS axis, SUM(c.x * m.x) AS v, SUM(c.x * m.x) / (SELECT SUM(x) FROM pcc1 WHERE i = j) AS explained_variance_ratio FROM pcc{_k} c JOIN pca{_k} m USING (i, j)")
+    cte(f"pcc{_k + 1}", f"pcc{_k} pca{_k} pcv{_k}", f"SELECT c.i, c.j, c.x - v * m.x AS x FROM pcc{_k} c JOIN pca{_k} m USING (i, j), pcv{_k}")
+_AXES = "pcl1 JOIN pcl2 USING (i) JOIN pcl3 USING (i)"
+
+
+def _profiled(spark, folder):
+    return profiles(spark, folder).select("player", *pr.PROFILE_FEATURES).na.fill(0.0)
 
 
 def _fit(spark, folder, k=4):
-    df, _ = bridge.vectors(spark, folder)
-    return cl.fit_clusters(df.select("player", *F64), F64, k=k)
+    return cl.fit_clusters(_profiled(spark, folder), pr.PROFILE_FEATURES, k=k)
 
 
-@query("pca_scores", "player:s pc1:d pc2:d pc3:d")
+@query("pca_scores", "player:s pc1:d pc2:d pc3:d", f"SELECT player, SUM(z * pc1) AS pc1, SUM(z * pc2) AS pc2, SUM(z * pc3) AS pc3 FROM pz JOIN {_AXES} USING (i) GROUP BY player", "pz pcl1 pcl2 pcl3")
 def _(spark, folder):
     return _fit(spark, folder).labelled
 
 
-@query("pca_loadings", "feature:s pc1:d pc2:d pc3:d")
+@query("pca_loadings", "feature:s pc1:d pc2:d pc3:d", f"SELECT ([{', '.join(repr(f) for f in pr.PROFILE_FEATURES)}])[i + 1] AS feature, pc1, pc2, pc3 FROM {_AXES}", "pcl1 pcl2 pcl3")
 def _(spark, folder):
     fit = _fit(spark, folder)
     return cl.pca_loadings(fit.labelled, fit.projection)
 
 
-@query("pca_variance", "axis:s explained_variance_ratio:d")
+@query("pca_variance", "axis:s explained_variance_ratio:d", "SELECT * FROM pcv1 UNION ALL SELECT * FROM pcv2 UNION ALL SELECT * FROM pcv3", "pcv1 pcv2 pcv3")
 def _(spark, folder):
     fit = _fit(spark, folder)
     return cl.pca_variance(fit.labelled, fit.projection)
@@ -290,14 +308,13 @@ def _(spark, folder):
 
 @query("sweep_k", "k:i silhouette:d inertia:d is_best:b")
 def _(spark, folder):
-    df, _ = bridge.vectors(spark, folder)
-    z = cl.standardise(df.select("player", *F64), F64)
-    projection = cl.fit_pca(z, F64)
+    z = cl.standardise(_profiled(spark, folder), pr.PROFILE_FEATURES)
+    projection = cl.fit_pca(z, pr.PROFILE_FEATURES)
     return cl.sweep_k(projection.apply(z), projection.axes)
 
 
 def _compatibility(spark, folder):
-    df = pr.pressure_features(legacy(spark, folder))
+    df = stored(pr.pressure_features(legacy(spark, folder)), "pressure")
     used = [f for f in pr.PRESSURE_FEATURES if f not in ("venue_pressure_delta", "vs_pace_pressure_sr", "vs_spin_pressure_sr", "late_innings_fatigue_index", "high_stakes_match_multiplier")]
     fit = cl.fit_clusters(df, used, k=3)
     return sel.compatibility_scores(fit, df, rrr=11.0, wickets_left=3, is_chase=True)
@@ -308,20 +325,18 @@ query("compatibility_score", "player:s cluster:i compatibility:d")(_compatibilit
 
 @query("rank_by_compatibility", "player:s compatibility:d")
 def _(spark, folder):
-    scored = _compatibility(spark, folder)
+    scored = stored(_compatibility(spark, folder), "scored")
     best = scored.orderBy(F.desc("compatibility"), "player").limit(1).select("player")
     return sel.rank_by_compatibility(scored, 3, exclude=best)
 
 
 @query("saved_model_clusters", "player:s cluster:i")
 def _(spark, folder):
-    """Clusters from a k-means model that went through storage."""
-    from pyspark.ml.clustering import KMeansModel
-
-    fit = _fit(spark, folder)
-    path = f"{bridge.shared_folder(spark)}/kmeans"
-    store.save_model(fit.kmeans, path)
-    return cl.assign_clusters(fit.labelled.drop("cluster"), fit.projection.axes, KMeansModel.load(path))
+    """Clusters by a pipeline of scaling, projection and centres that went through storage."""
+    df = _profiled(spark, folder)
+    path = f"{bridge.shared_folder(spark)}/clusters"
+    store.save_model(cl.fit_clusters(df, pr.PROFILE_FEATURES, k=4).pipeline, path)
+    return store.load_pipeline(path).transform(df)
 
 
 # --- selection ------------------------------------------------------------------------------------
