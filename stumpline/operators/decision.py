@@ -31,6 +31,8 @@ NIGHT_CITIES = ("Mumbai", "Chennai", "Bangalore", "Delhi")
 ROLE_WEIGHTS = {"Batsman": 5, "All-rounder": 3, "Wicketkeeper": 2, "Bowler": 0}
 # Three bins in seven places: no more than this many state keys exist.
 MAX_STATE_KEYS = 3**7
+# Actions that a log may hold for each of them, on average.
+MAX_ACTIONS = 16
 # Wickets in hand run from 0 to 10, below 0 where feeds list more wickets; more values than these raise.
 MAX_HANDS = 64
 # Coordinates of a value table's keys, and values that one of them may take.
@@ -301,7 +303,7 @@ def batch_q_iteration(
 
     Bulk-synchronous sweeps: the log, folded to one row per (state, action, next state), is written once; a sweep
     broadcasts the values of all states (at most MAX_STATE_KEYS, which is checked), joins them to the log and sums per
-    (state, action); the best action's value per state comes back. The next values are the combination of the last
+    (state, action); these sums come back. The next values are the combination of the last
     ``memory`` ones that leaves the smallest gap, which takes a fraction of the plain sweeps; where it makes the gap larger,
     plain sweeps go on. A step size would not move the fixed point, so full backups are made until no state's value is
     off its own backup by more than ``tolerance``; if ``sweeps`` do not suffice, the job fails. A next state that was
@@ -309,18 +311,18 @@ def batch_q_iteration(
     """
     log = counts.groupBy("state_key", "action", "next_state_key").agg(F.sum("n").alias("n"), F.sum("reward_sum").alias("reward_sum"))
     log = stored(log, "transitions")
-    names = [r[0] for r in log.select("state_key").distinct().orderBy("state_key").limit(MAX_STATE_KEYS + 1).collect()]
-    if len(names) > MAX_STATE_KEYS:
+    pairs = [tuple(r) for r in log.select("state_key", "action").distinct().limit(MAX_STATE_KEYS * MAX_ACTIONS + 1).collect()]
+    names = sorted({state for state, _ in pairs})
+    if len(names) > MAX_STATE_KEYS or len(pairs) > MAX_STATE_KEYS * MAX_ACTIONS:
         raise ValueError("state keys are not discretised")
     place = {name: i for i, name in enumerate(names)}
-    value, least = np.zeros(len(names)), np.inf
+    value, least, gap = np.zeros(len(names)), np.inf, 0.0
     points: list[np.ndarray] = []
     images: list[np.ndarray] = []
     for _ in range(sweeps):
-        best = _backup(log, names, value, gamma).groupBy("state_key").agg(F.max("q").alias("v")).collect()
-        image = np.zeros(len(names))
-        for r in best:
-            image[place[r["state_key"]]] = r["v"]
+        found = _backup(log, names, value, gamma).select("state_key", "q").toArrow()
+        image = np.full(len(names), -np.inf)
+        np.maximum.at(image, [place[k] for k in found.column(0).to_pylist()], found.column(1).to_numpy())
         gap = float(np.abs(image - value).max(initial=0.0))
         if gap <= tolerance:
             break
@@ -526,7 +528,10 @@ def rank_candidates_context(
     low, high = F.greatest(c("asked") - 3, F.lit(0.0)), c("asked") + 3
     spots = stored(asked.select("code", "asked").distinct().withColumns({"low": low, "high": high}), "spots")
     limit = hot_rows_limit(folded)
-    hot = NO_HOT if folded.count() + 2 * spots.count() <= limit else None
+    phases = spots.groupBy("code").agg(F.count(F.lit(1)).alias("spots")).limit(MAX_PHASES + 1).collect()
+    if len(phases) > MAX_PHASES:
+        raise ValueError(f"contexts have more than {MAX_PHASES} phases")
+    hot = NO_HOT if folded.count() + 2 * sum(p["spots"] for p in phases) <= limit else None
     events, placed = _alike_pieces(folded, spots.filter("high >= low"), hot)
 
     mean = lambda total, many: F.when(many > 0, total.cast("double") / many.cast("double"))
@@ -540,10 +545,7 @@ def rank_candidates_context(
         rest = spots.filter("high < low OR high IS NULL OR code IS NULL").select("code", "asked")
         ends = placed.unionByName(rest.withColumn("spot", F.lit(None).cast("long")))
         places = scan(ends, ["code"], [F.asc_nulls_last("spot"), "asked"], hot, spot=RowNumber())
-        phases = places.groupBy("code").agg(F.max("spot").alias("last")).limit(MAX_PHASES + 1).collect()
-        if len(phases) > MAX_PHASES:
-            raise ValueError(f"contexts have more than {MAX_PHASES} phases")
-        edge = F.array(*[F.struct(F.lit(p["code"]).cast("double").alias("phase"), F.lit(at).cast("long").alias("spot")) for p in phases for at in (1, p["last"] + 1)])
+        edge = F.array(*[F.struct(F.lit(p["code"]).cast("double").alias("phase"), F.lit(at).cast("long").alias("spot")) for p in phases for at in (1, p["spots"] + 1)])
         names = [k for k in events.columns if k.startswith("_")]
         edges = overall.select("player", F.explode(edge if phases else F.array().cast("array<struct<phase:double,spot:long>>")).alias("e"))
         edges = edges.select("player", "e.*", *[F.lit(0).cast(events.schema[k].dataType).alias(k) for k in names])
@@ -575,7 +577,7 @@ def rank_candidates_context(
     ).drop("_recent", "_rate")
     order = [F.desc("expected_uplift_runs"), "player"]
     if n is None:
-        all_hot = NO_HOT if overall.count() <= limit else None
+        all_hot = NO_HOT if hot is NO_HOT else None  # a context lists no more batters than the folded log has rows
         ranked = scan(scored, ["code", "asked"], order, all_hot, rank=RowNumber()).withColumn("rank", c("rank").cast("int"))
     else:
         ranked = scored.withColumn("rank", F.row_number().over(Window.partitionBy("code", "asked").orderBy(*order)))
