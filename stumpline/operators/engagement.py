@@ -9,13 +9,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stumpline.functions.exprs import flag_sum
 from stumpline.functions.quantiles import exact_quantiles, with_scalars
 from stumpline.functions.scan import lookup
+from stumpline.operators.regression import fit_ridge
+from stumpline.session import stored
 
 # Price of a 30 second slot, and slots per over.
 AD_RATES = {"peak": 2_500_000, "standard": 800_000, "low": 300_000}
@@ -167,28 +169,34 @@ def forecast(
     horizon: int = 3,
     train_share: float = 0.7,
     learner: str = "linear",
+    ridge: float = 1e-3,
+    trees: int = 20,
+    depth: int = 4,
 ) -> DataFrame:
     """Excitement 1..``horizon`` overs ahead, one regressor per step, trained on part of the matches.
 
-    Rows without a full past are predicted as 0. The actual later values and the split are kept.
+    The linear form fits all steps in one pass over the rows; ``gbt`` boosts ``trees`` trees of ``depth`` per step. Rows
+    without a full past are predicted as 0. The actual later values and the split are kept.
     """
     wide, inputs = lagged_inputs(df, features, lookback, horizon)
+    goals = [f"next_{h}" for h in range(1, horizon + 1)]
     rows = split_by_group(wide, share=train_share).withColumns(
         {c: F.coalesce(c, F.lit(0.0)) for c in inputs}
     )
-    rows = VectorAssembler(inputCols=inputs, outputCol="features").transform(rows)
-    for h in range(1, horizon + 1):
-        common = {"featuresCol": "features", "labelCol": f"next_{h}", "predictionCol": "_raw"}
-        make = GBTRegressor(maxIter=20, maxDepth=4, seed=42, **common) if learner == "gbt" else LinearRegression(
-            regParam=1e-3, **common
-        )
-        model = make.fit(rows.filter(F.col("_full") & F.col(f"next_{h}").isNotNull() & (F.col("split") == "train")))
-        rows = (
-            model.transform(rows)
-            .withColumn(f"predicted_excitement_t{h}", F.when(F.col("_full"), F.col("_raw")).otherwise(0.0))
-            .drop("_raw")
-        )
-    return rows.drop("features", "_full", *inputs)
+    rows = stored(rows, "lagged")
+    past = rows.filter(F.col("_full") & (F.col("split") == "train"))
+    if learner == "gbt":
+        rows = VectorAssembler(inputCols=inputs, outputCol="features").transform(rows)
+        for h, goal in enumerate(goals, 1):
+            make = GBTRegressor(featuresCol="features", labelCol=goal, predictionCol=f"_raw_{h}", maxIter=trees, maxDepth=depth, seed=42)
+            known = VectorAssembler(inputCols=inputs, outputCol="features").transform(past.filter(F.col(goal).isNotNull()))
+            rows = make.fit(known).transform(rows)
+        rows = rows.drop("features")
+    else:
+        fitted = fit_ridge(past, inputs, goals, ridge)
+        rows = rows.withColumns({f"_raw_{h}": fitted[goal].predict(inputs) for h, goal in enumerate(goals, 1)})
+    predicted = {f"predicted_excitement_t{h}": F.when(F.col("_full"), F.col(f"_raw_{h}")).otherwise(0.0) for h in range(1, horizon + 1)}
+    return rows.withColumns(predicted).drop("_full", *inputs, *[f"_raw_{h}" for h in range(1, horizon + 1)])
 
 
 def naive_forecast(df: DataFrame) -> DataFrame:

@@ -111,12 +111,33 @@ def _(spark, folder):
     return en.split_by_group(overs(spark, folder)).select("match_id", "split").distinct()
 
 
-@query("forecast", OVER_KEY + "predicted_excitement_t1:d predicted_excitement_t2:d predicted_excitement_t3:d split:s")
+cte("nx", "ex", f"SELECT *, LEAD(excitement_normalised) OVER w AS next_1, LEAD(excitement_normalised, 2) OVER w AS next_2 FROM ex WINDOW w AS ({_W})")
+_INPUTS = [(f, k) for f in en.SERIES_FEATURES for k in range(5)]
+_P = len(_INPUTS)
+cte("fr", "ts", f"""
+SELECT *, CASE WHEN substr(md5(match_id), 1, 8) < '{int(0.7 * 2**32):08x}' THEN 'train' ELSE 'validation' END AS split, ROW_NUMBER() OVER w >= 5 AS whole,
+  [{', '.join(f'COALESCE(LAG(COALESCE({f}, 0), {k}) OVER w, 0)::DOUBLE' for f, k in _INPUTS)}] AS x, [{', '.join(f'LEAD(excitement_normalised, {h}) OVER w' for h in (1, 2, 3))}] AS y FROM ts WINDOW w AS ({_W})""")
+cte("fn", "fr", "SELECT h, x, y[h] AS y FROM fr, (SELECT unnest(range(1, 4)) AS h) WHERE split = 'train' AND whole AND y[h] IS NOT NULL")
+cte("fa", "fn", f"SELECT h, i, j, COVAR_POP(x[i], x[j]) + CASE WHEN i = j THEN 1e-3::DOUBLE ELSE 0 END AS c FROM fn, (SELECT unnest(range(1, {_P + 1})) AS i), (SELECT unnest(range(1, {_P + 1})) AS j) GROUP BY h, i, j")
+cte("fy", "fn", f"SELECT h, i, COVAR_POP(x[i], y) AS c, AVG(x[i]) AS mx, AVG(y) AS my FROM fn, (SELECT unnest(range(1, {_P + 1})) AS i) GROUP BY h, i")
+# Conjugate gradients solve the normal equations: b the solution so far, r what is left of the right side, p the direction.
+cte("fb", "fa fy", """
+WITH RECURSIVE it AS (SELECT 0 AS k, h, i, 0::DOUBLE AS b, c AS r, c AS p FROM fy UNION ALL
+  SELECT k + 1, h, i, b + al * p, r - al * ap, CASE WHEN rr > 1e-26 THEN r - al * ap + SUM((r - al * ap) * (r - al * ap)) OVER (PARTITION BY h) / rr * p ELSE 0 END FROM (
+    SELECT *, CASE WHEN rr > 1e-26 THEN rr / SUM(p * ap) OVER (PARTITION BY h) ELSE 0 END AS al FROM (
+      SELECT it.*, ap, SUM(r * r) OVER (PARTITION BY it.h) AS rr FROM it JOIN (SELECT a.h, a.i, SUM(a.c * v.p) AS ap FROM fa a JOIN it v ON a.h = v.h AND a.j = v.i GROUP BY a.h, a.i) m ON m.h = it.h AND m.i = it.i WHERE it.k < 300)))
+SELECT h, MAX(my) - SUM(b * mx) AS b0, LIST(b ORDER BY i) AS b FROM it JOIN fy USING (h, i) WHERE k = 300 GROUP BY h""")
+_AHEAD = ", ".join(f"CASE WHEN whole THEN (SELECT b0 + list_dot_product(fr.x, b) FROM fb WHERE h = {h}) ELSE 0 END AS predicted_excitement_t{h}" for h in (1, 2, 3))
+
+
+@query("forecast", OVER_KEY + "predicted_excitement_t1:d predicted_excitement_t2:d predicted_excitement_t3:d split:s", f"SELECT *, {_AHEAD} FROM fr", "fr fb")
 def _(spark, folder):
     return en.forecast(series(spark, folder))
 
 
-cte("nx", "ex", f"SELECT *, LEAD(excitement_normalised) OVER w AS next_1, LEAD(excitement_normalised, 2) OVER w AS next_2 FROM ex WINDOW w AS ({_W})")
+@query("forecast_boosted", OVER_KEY + "predicted_excitement_t1:d predicted_excitement_t2:d predicted_excitement_t3:d split:s")
+def _(spark, folder):
+    return en.forecast(series(spark, folder), learner="gbt")
 
 
 @query("naive_forecast", OVER_KEY + "predicted_excitement_t1:d", "SELECT *, excitement_normalised AS predicted_excitement_t1 FROM ex", "ex")
