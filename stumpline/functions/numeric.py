@@ -58,32 +58,68 @@ def hyp2f1(a: np.ndarray, b: np.ndarray, c: np.ndarray, z: np.ndarray) -> np.nda
     raise ArithmeticError("the series does not converge")
 
 
+def _log1p_rest(x: np.ndarray) -> np.ndarray:
+    """log(1 + x) - x + x^2 / 2 for x >= 0, without cancellation."""
+    small = np.minimum(x, 0.125)
+    total, power = np.zeros_like(x), small**3
+    for n in range(3, 24):
+        total = total + (power / n if n % 2 else -power / n)
+        power = power * small
+    return np.where(x < 0.125, total, np.log1p(x) - x + x * x / 2)
+
+
+#: Last terms of a tie sum that are added one by one, where the integral of the others would meet the pole.
+_LAST = 32
+
+
 def tie_sums(at_risk: np.ndarray, dying: np.ndarray, deaths: np.ndarray) -> tuple[np.ndarray, ...]:
     """Sums over l = 0 .. d-1 of log(phi), 1/phi, l/phi, 1/phi^2, l/phi^2, l^2/phi^2.
 
-    phi = at_risk - (l / d) * dying, the Efron weight of tied deaths. Few ties are summed directly;
-    many are summed in closed form through u = at_risk * d / dying.
+    phi = at_risk - (l / d) * dying, the Efron weight of tied deaths. For any number of ties the last ``_LAST`` terms are
+    added one by one and those before them by the midpoint form of the Euler-Maclaurin formula with three corrections;
+    phi, in units of dying / d, is at least ``_LAST`` there, so the next correction is below 1e-14 of the sum. Integrals are
+    written in log(1 + x) less its first terms, so nothing cancels where few of very many die.
     """
     s, t, d = (np.asarray(v, dtype=float) for v in (at_risk, dying, deaths))
-    out = np.zeros((6, len(s)))
-    few = d <= 1000
-    for i in np.flatnonzero(few):
-        l = np.arange(int(d[i]))
-        phi = s[i] - l / d[i] * t[i]
-        out[:, i] = (
-            np.log(phi).sum(), (1 / phi).sum(), (l / phi).sum(),
-            (1 / phi**2).sum(), (l / phi**2).sum(), (l**2 / phi**2).sum(),
-        )
-    many = ~few
-    if many.any():
-        k = d[many] / t[many]
-        n = d[many]
-        u = np.maximum(s[many] * k, n)
-        h1 = digamma(u + 1) - digamma(u - n + 1)
-        h2 = trigamma(u - n + 1) - trigamma(u + 1)
-        out[:, many] = (
-            log_gamma(u + 1) - log_gamma(u - n + 1) - n * np.log(k),
-            k * h1, k * (u * h1 - n),
-            k**2 * h2, k**2 * (u * h2 - h1), k**2 * (u**2 * h2 - 2 * u * h1 + n),
+    k = d / t
+    u = np.maximum(s * k, d)
+    last = d[:, None] - 1 - np.arange(_LAST)
+    there = last >= 0
+    l = np.where(there, last, 0.0)
+    v = np.where(there, u[:, None] - l, 1.0)
+    add = lambda terms: np.where(there, terms, 0.0).sum(axis=1)
+    tail = (add(np.log(v)), add(1 / v), add(l / v), add(1 / v**2), add(l / v**2), add(l**2 / v**2))
+
+    n = np.maximum(d - _LAST, 0.0)
+    low, high = u - n + 0.5, u + 0.5
+    x = n / low
+    rest = _log1p_rest(x)
+    log = np.log1p(x)
+    less = rest - x * x / 2  # log(1 + x) - x
+    integrals = (
+        low * less + n * np.log(high),
+        log,
+        low * less + (n - 0.5) * log,
+        n / (low * high),
+        -less - n / (2 * low * high),
+        n * x * x - x * x / 2 + n / (4 * low * high) - 2 * u * rest,
+    )
+
+    def slopes(at: np.ndarray) -> tuple[tuple[np.ndarray, ...], ...]:
+        """First, third and fifth derivatives by l of the six terms, where phi is ``at``."""
+        i = u - at
+        return (
+            (-1 / at, -2 / at**3, -24 / at**5),
+            (1 / at**2, 6 / at**4, 120 / at**6),
+            (u / at**2, 6 * u / at**4, 120 * u / at**6),
+            (2 / at**3, 24 / at**5, 720 / at**7),
+            ((u + i) / at**3, 6 * (3 * u + i) / at**5, 120 * (5 * u + i) / at**7),
+            (2 * i * u / at**3, 12 * u * (u + i) / at**5, 240 * u * (2 * u + i) / at**7),
         )
-    return tuple(out)
+
+    out = []
+    for integral, end, begin, more in zip(integrals, slopes(low), slopes(high), tail, strict=True):
+        change = [a - b for a, b in zip(end, begin, strict=True)]
+        out.append(integral - change[0] / 24 + change[1] * 7 / 5760 - change[2] * 31 / 967680 + more)
+    logs, f1, fl, q1, ql, q2 = out
+    return logs - d * np.log(k), k * f1, k * fl, k**2 * q1, k**2 * ql, k**2 * q2

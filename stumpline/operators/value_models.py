@@ -13,96 +13,93 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stumpline.functions.numeric import hyp2f1, log_gamma
+from stumpline.functions.numeric import digamma, hyp2f1, log_gamma, trigamma
 from stumpline.operators.users import CHURN_FEATURES
 
-LogLik = Callable[[np.ndarray, pd.DataFrame], np.ndarray]
+#: Value, gradient and curvature by natural parameters: arrays (rows,), (rows, p), (rows, p, p).
+Derived = Callable[[np.ndarray, pd.DataFrame], tuple[np.ndarray, np.ndarray, np.ndarray]]
 DAYS_PER_MONTH = 30
 
 
-def _total_loglik(counts: DataFrame, loglik: LogLik, points: np.ndarray) -> np.ndarray:
-    """Weighted log-likelihood at several parameter points, in one job."""
-    k = len(points)
+def total_derived(counts: DataFrame, derived: Derived, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Weighted sums of value, gradient and curvature at several points of log parameters, in one job."""
+    many, p = points.shape
+    width = 1 + p + p * p
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((many, width))
         for b in batches:
-            if b.empty:
-                continue
             w = b["weight"].to_numpy(dtype=float)
-            yield pd.DataFrame([{f"v{i}": float((w * loglik(points[i], b)).sum()) for i in range(k)}])
-
-    sums = counts.mapInPandas(run, ", ".join(f"v{i} double" for i in range(k)))
-    row = sums.agg(*[F.sum(f"v{i}").alias(f"v{i}") for i in range(k)]).first()
-    return np.array([row[f"v{i}"] for i in range(k)], dtype=float)
-
-
-def _stencil(x: np.ndarray, h: float) -> np.ndarray:
-    """Points needed for central first and second differences around x."""
-    p, out = len(x), [x]
-    eye = np.eye(p) * h
-    for i in range(p):
-        out += [x + eye[i], x - eye[i]]
-    for i in range(p):
-        for j in range(i + 1, p):
-            out += [x + eye[i] + eye[j], x + eye[i] - eye[j], x - eye[i] + eye[j], x - eye[i] - eye[j]]
-    return np.array(out)
-
-
-def _derivatives(v: np.ndarray, p: int, h: float) -> tuple[np.ndarray, np.ndarray]:
-    grad, hess = np.zeros(p), np.zeros((p, p))
-    for i in range(p):
-        up, down = v[1 + 2 * i], v[2 + 2 * i]
-        grad[i] = (up - down) / (2 * h)
-        hess[i, i] = (up - 2 * v[0] + down) / h**2
-    at = 1 + 2 * p
-    for i in range(p):
-        for j in range(i + 1, p):
-            hess[i, j] = hess[j, i] = (v[at] - v[at + 1] - v[at + 2] + v[at + 3]) / (4 * h**2)
-            at += 4
-    return grad, hess
+            for i, point in enumerate(points):
+                with np.errstate(all="ignore"):
+                    value, grad, bend = derived(np.exp(point), b)
+                    total[i, 0] += w @ value
+                    total[i, 1 : 1 + p] += w @ grad
+                    total[i, 1 + p :] += np.tensordot(w, bend, 1).ravel()
+        yield pd.DataFrame({"i": np.arange(many, dtype=np.int32), "s": list(total)})
+
+    parts = counts.mapInPandas(run, "i int, s array<double>")
+    rows = parts.groupBy("i").agg(F.array(*[F.sum(F.col("s")[j]) for j in range(width)]).alias("s")).collect()
+    total = np.zeros((many, width))
+    for r in rows:
+        total[r["i"]] = r["s"]
+    # From natural to log parameters.
+    x = np.exp(points)
+    grad = total[:, 1 : 1 + p] * x
+    bend = total[:, 1 + p :].reshape(-1, p, p) * x[:, :, None] * x[:, None, :]
+    bend[:, np.arange(p), np.arange(p)] += grad
+    return total[:, 0], grad, bend
 
 
 def maximise(
-    counts: DataFrame, loglik: LogLik, start: np.ndarray, penalizer: float, max_iter: int = 200, tolerance: float = 1e-7
+    counts: DataFrame, derived: Derived, start: np.ndarray, penalizer: float, max_iter: int = 200, tolerance: float = 1e-9
 ) -> tuple[np.ndarray, float]:
-    """Damped Newton on log parameters. Each round is two jobs over the folded rows.
+    """Damped Newton on log parameters with exact gradients and curvatures, one job over the folded rows a step.
 
-    Raises when ``max_iter`` rounds do not suffice. The penalty is on the squared parameters; the objective is the mean log-likelihood.
+    A job looks at a few lengths of the step together, and the best of them is where the next step starts. It ends
+    where no derivative of the mean log-likelihood is above ``tolerance``, or no step gains any more; raises when ``max_iter`` steps do
+    not suffice. The penalty is on the squared parameters.
     """
     weight = counts.agg(F.sum("weight")).first()[0]
     if not weight:
         raise ValueError("nothing to fit")
-    h = 1e-4
-
-    def objective(points: np.ndarray) -> np.ndarray:
-        with np.errstate(all="ignore"):
-            value = _total_loglik(counts, loglik, points) / weight - penalizer * (np.exp(points) ** 2).sum(axis=1)
-        return np.where(np.isfinite(value), value, -np.inf)
-
-    x, p = start.astype(float), len(start)
-    best = -np.inf
+    p = len(start)
+
+    def look(points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        value, grad, bend = total_derived(counts, derived, points)
+        square = np.exp(2 * points)
+        value = value / weight - penalizer * square.sum(axis=1)
+        bend = bend / weight
+        bend[:, np.arange(p), np.arange(p)] -= 4 * penalizer * square
+        fine = np.isfinite(value) & np.isfinite(grad).all(axis=1) & np.isfinite(bend).all(axis=(1, 2))
+        return np.where(fine, value, -np.inf), grad / weight - 2 * penalizer * square, bend
+
+    x = start.astype(float)
+    values, grads, bends = look(x[None])
+    best, grad, bend = values[0], grads[0], bends[0]
+    if not np.isfinite(best):
+        raise ValueError("the start has no likelihood")
     for _ in range(max_iter):
-        v = objective(_stencil(x, h))
-        best = v[0]
-        grad, hess = _derivatives(v, p, h)
-        bend = -hess
-        values, vectors = np.linalg.eigh((bend + bend.T) / 2)
-        moves = []
-        for damp in (0.0, 1e-3, 1e-2, 1e-1, 1.0, 10.0):
-            size = np.maximum(np.abs(values), 1e-8) + damp
-            move = vectors @ ((vectors.T @ grad) / size)
-            moves.append(move * min(1.0, 2.0 / max(np.abs(move).max(), 1e-12)))
-        tried = np.array([x + m * s for m in moves for s in (1.0, 0.25)])
-        score = objective(tried)
-        if score.max() <= best + tolerance * 1e-3:
-            break
-        gain = score.max() - best
-        x, best = tried[score.argmax()], score.max()
-        if gain < tolerance and np.abs(grad).max() < 1e-4:
-            break
-    else:
-        raise RuntimeError(f"no convergence in {max_iter} rounds")
-    return x, float(best)
+        if np.abs(grad).max() <= tolerance:
+            return x, float(best)
+        size, axes = np.linalg.eigh(-(bend + bend.T) / 2)
+        tried = []
+        for damp in (0.0, 1e-2, 1.0):
+            move = axes @ ((axes.T @ grad) / (np.maximum(np.abs(size), 1e-8) + damp))
+            move = move * min(1.0, 2.0 / max(np.abs(move).max(), 1e-12))
+            tried += [x + move, x + 0.25 * move, x + 0.02 * move]
+        values, grads, bends = look(np.array(tried))
+        at = int(values.argmax())
+        # Where values no longer tell points apart, the smaller gradient does.
+        close = np.flatnonzero(values >= best - 1e-13 * max(1.0, abs(best)))
+        if len(close) and values[at] <= best + 1e-13 * max(1.0, abs(best)):
+            at = int(close[np.abs(grads[close]).max(axis=1).argmin()])
+            if np.abs(grads[at]).max() >= np.abs(grad).max():
+                return x, float(best)
+        elif values[at] <= best:
+            return x, float(best)
+        x, best, grad, bend = tried[at], values[at], grads[at], bends[at]
+    raise RuntimeError(f"no convergence in {max_iter} steps")
 
 
 # --- purchase counts ------------------------------------------------------------------------------
@@ -145,17 +142,44 @@ class PurchaseModel:
         return run("frequency", "recency", "T")
 
 
-def _purchase_loglik(theta: np.ndarray, b: pd.DataFrame) -> np.ndarray:
-    r, alpha, a, c = np.exp(theta)
+def purchase_derived(theta: np.ndarray, b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log-likelihood of (frequency, recency, T) by r, alpha, a, b with both derivatives."""
+    r, alpha, a, c = theta
     x, tx, age = (b[k].to_numpy(dtype=float) for k in ("frequency", "recency", "T"))
-    common = (
+    one, zero, some = np.ones_like(x), np.zeros_like(x), np.maximum(x, 1)
+    value = (
         log_gamma(r + x) - log_gamma(np.array(r)) + r * np.log(alpha)
         + log_gamma(np.array(a + c)) + log_gamma(c + x) - log_gamma(np.array(c)) - log_gamma(a + c + x)
     )
-    alive = -(r + x) * np.log(alpha + age)
-    dead = np.log(a) - np.log(c + np.maximum(x, 1) - 1) - (r + x) * np.log(alpha + tx)
-    top = np.maximum(alive, dead)
-    return common + top + np.log(np.exp(alive - top) + np.where(x > 0, np.exp(dead - top), 0.0))
+    both, more = digamma(np.array(a + c)) - digamma(a + c + x), digamma(c + x) - digamma(np.array(c))
+    grad = np.stack([digamma(r + x) - digamma(np.array(r)) + np.log(alpha), one * r / alpha, both, both + more], axis=1)
+    bend = np.zeros((len(x), 4, 4))
+    bend[:, 0, 0] = trigamma(r + x) - trigamma(np.array(r))
+    bend[:, 0, 1] = bend[:, 1, 0] = 1 / alpha
+    bend[:, 1, 1] = -r / alpha**2
+    bend[:, 2, 2] = bend[:, 2, 3] = bend[:, 3, 2] = trigamma(np.array(a + c)) - trigamma(a + c + x)
+    bend[:, 3, 3] = bend[:, 2, 2] + trigamma(c + x) - trigamma(np.array(c))
+
+    def way(log: np.ndarray, time: np.ndarray, quit_: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        first = np.stack([-np.log(time), -(r + x) / time, one / a if quit_ else zero, -1 / (c + some - 1) if quit_ else zero], axis=1)
+        second = np.zeros((len(x), 4, 4))
+        second[:, 0, 1] = second[:, 1, 0] = -1 / time
+        second[:, 1, 1] = (r + x) / time**2
+        if quit_:
+            second[:, 2, 2], second[:, 3, 3] = -1 / a**2, 1 / (c + some - 1) ** 2
+        return log, first, second + first[:, :, None] * first[:, None, :]
+
+    ways = (
+        way(-(r + x) * np.log(alpha + age), alpha + age, False),
+        way(np.where(x > 0, np.log(a) - np.log(c + some - 1) - (r + x) * np.log(alpha + tx), -np.inf), alpha + tx, True),
+    )
+    top = np.maximum(ways[0][0], ways[1][0])
+    share = np.exp([w[0] - top for w in ways])
+    whole = share.sum(axis=0)
+    share = share / whole
+    mixed = sum(s[:, None] * w[1] for s, w in zip(share, ways, strict=True))
+    curved = sum(s[:, None, None] * w[2] for s, w in zip(share, ways, strict=True)) - mixed[:, :, None] * mixed[:, None, :]
+    return value + top + np.log(whole), grad + mixed, bend + curved
 
 
 def fit_purchases(rft: DataFrame, penalizer: float = 0.01) -> PurchaseModel:
@@ -171,7 +195,7 @@ def fit_purchases(rft: DataFrame, penalizer: float = 0.01) -> PurchaseModel:
             raise ValueError("nothing to fit")
         scale = 10.0 / top
         scaled = counts.withColumns({"recency": F.col("recency") * scale, "T": F.col("T") * scale})
-        theta, best = maximise(scaled, _purchase_loglik, np.log([1.0, 1.0, 1.0, 1.0]), penalizer)
+        theta, best = maximise(scaled, purchase_derived, np.log([1.0, 1.0, 1.0, 1.0]), penalizer)
     finally:
         counts.unpersist()
     r, alpha, a, b = np.exp(theta)
@@ -197,13 +221,29 @@ class SpendModel:
         return (F.lit(1.0) - own) * (self.v * self.p / (self.q - 1.0)) + own * m
 
 
-def _spend_loglik(theta: np.ndarray, b: pd.DataFrame) -> np.ndarray:
-    p, q, v = np.exp(theta)
+def spend_derived(theta: np.ndarray, b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log-likelihood of (frequency, monetary_value) by p, q, v with both derivatives."""
+    p, q, v = theta
     x, m = b["frequency"].to_numpy(dtype=float), b["monetary_value"].to_numpy(dtype=float)
-    return (
-        log_gamma(p * x + q) - log_gamma(p * x) - log_gamma(np.array(q))
-        + q * np.log(v) + (p * x - 1) * np.log(m) + p * x * np.log(x) - (p * x + q) * np.log(x * m + v)
+    px, all_ = p * x, x * m + v
+    value = (
+        log_gamma(px + q) - log_gamma(px) - log_gamma(np.array(q))
+        + q * np.log(v) + (px - 1) * np.log(m) + px * np.log(x) - (px + q) * np.log(all_)
+    )
+    up = digamma(px + q)
+    grad = np.stack(
+        [x * (up - digamma(px) + np.log(m) + np.log(x) - np.log(all_)), up - digamma(np.array(q)) + np.log(v) - np.log(all_), q / v - (px + q) / all_],
+        axis=1,
     )
+    bend = np.zeros((len(x), 3, 3))
+    curve = trigamma(px + q)
+    bend[:, 0, 0] = x * x * (curve - trigamma(px))
+    bend[:, 0, 1] = bend[:, 1, 0] = x * curve
+    bend[:, 0, 2] = bend[:, 2, 0] = -x / all_
+    bend[:, 1, 1] = curve - trigamma(np.array(q))
+    bend[:, 1, 2] = bend[:, 2, 1] = 1 / v - 1 / all_
+    bend[:, 2, 2] = -q / v**2 + (px + q) / all_**2
+    return value, grad, bend
 
 
 def fit_spend(rft: DataFrame, penalizer: float = 0.01, min_rows: int = 10) -> SpendModel | None:
@@ -217,7 +257,7 @@ def fit_spend(rft: DataFrame, penalizer: float = 0.01, min_rows: int = 10) -> Sp
     try:
         if (counts.agg(F.sum("weight")).first()[0] or 0) <= min_rows:
             return None
-        theta, best = maximise(counts, _spend_loglik, np.log([1.0, 1.0, 1.0]), penalizer)
+        theta, best = maximise(counts, spend_derived, np.log([1.0, 1.0, 1.0]), penalizer)
     finally:
         counts.unpersist()
     p, q, v = np.exp(theta)

@@ -227,7 +227,7 @@ def _(spark, folder):
 @query("spend_model", "user_id:l expected_spend:d")
 def _(spark, folder):
     rft, _, s = _value(spark, folder)
-    return rft.withColumn("expected_spend", s.expected())
+    return rft.withColumn("expected_spend", F.lit(None).cast("double") if s is None else s.expected())
 
 
 def clv_users(spark, folder):

@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -111,7 +112,7 @@ def test_purchase_and_spend_models_reach_a_maximum(spark):
     df = spark.createDataFrame(rows, "frequency double, recency double, T double, monetary_value double").repartition(4)
     model = vm.fit_purchases(df, penalizer=0.0)
     pdf = df.toPandas()
-    mean = lambda th: vm._purchase_loglik(th, pdf).mean()
+    mean = lambda th: vm.purchase_derived(np.exp(th), pdf)[0].mean()
     best = np.log([model.r, model.alpha, model.a, model.b])
     for i in range(4):
         for step in (-0.05, 0.05):
@@ -125,6 +126,35 @@ def test_purchase_and_spend_models_reach_a_maximum(spark):
     assert vm.fit_spend(df.limit(5)) is None
 
 
+@pytest.mark.parametrize("derived, p", [(vm.purchase_derived, 4), (vm.spend_derived, 3)])
+def test_derivatives_match_differences_and_vanish_at_the_fit(spark, derived, p):
+    rnd = np.random.default_rng(3)
+    x = rnd.integers(0 if p == 4 else 1, 9, 60).astype(float)
+    b = pd.DataFrame({"frequency": x, "recency": np.where(x > 0, rnd.uniform(1, 30, 60), 0.0), "T": rnd.uniform(31, 60, 60), "monetary_value": rnd.gamma(3.0, 9.0, 60), "weight": 1.0})
+    at = rnd.uniform(0.5, 3, p)
+    value, grad, bend = derived(at, b)
+    for i in range(p):
+        step = np.eye(p)[i] * 1e-5
+        up, down = derived(at + step, b), derived(at - step, b)
+        assert (up[0] - down[0]) / 2e-5 == pytest.approx(grad[:, i], rel=1e-4, abs=1e-6)
+        assert (up[1] - down[1]) / 2e-5 == pytest.approx(bend[:, :, i], rel=1e-4, abs=1e-5)
+    best, _ = vm.maximise(spark.createDataFrame(b), derived, np.zeros(p), 0.01)
+    _, slope, _ = vm.total_derived(spark.createDataFrame(b), derived, best[None])
+    assert slope[0] / 60 == pytest.approx(0.02 * np.exp(2 * best), abs=1e-7)
+
+
+@pytest.mark.parametrize("ratio", [1.0, 1.0001, 1.7, 40.0, 1e6])
+def test_tie_sums_match_direct_ones_for_any_number(ratio):
+    for d in (1, 2, 31, 32, 33, 34, 100, 999, 1000, 1001, 20_000, 100_000):
+        t = 0.37 * d
+        s = t * ratio
+        l = np.arange(d)
+        phi = s - l / d * t
+        want = [math.fsum(v) for v in (np.log(phi), 1 / phi, l / phi, 1 / phi**2, l / phi**2, l**2 / phi**2)]
+        got = [v[0] for v in tie_sums([s], [t], [d])]
+        assert got == pytest.approx(want, rel=1e-9, abs=1e-12 * d)
+
+
 def test_expected_purchases_grow_with_time():
     m = vm.PurchaseModel(1.2, 8.0, 1.5, 3.0, 0.0)
     x, tx, age = np.array([0.0, 3.0]), np.array([0.0, 80.0]), np.array([90.0, 90.0])
