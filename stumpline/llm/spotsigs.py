@@ -10,8 +10,9 @@ the rarest signatures of each set (any two sets over the threshold share one of
 whose lengths allow the threshold. Equal fingerprints are one class.
 
 Null and empty texts have an empty fingerprint; two empty ones are alike (1.0), an empty and another one are not
-(0.0). Fully repeated rows are one row; rows with the same id and other text are told apart by text. A null id
-comes last in the descending order. An empty table gives no rows, and a single row's next document is itself.
+(0.0). Fully repeated rows are one document in the order, whose result every one of them has; rows with the same id and
+other text are told apart by text. A null id comes last in the descending order. Extra columns change nothing. An empty
+table gives no rows, and a single document's next one is itself.
 """
 
 from __future__ import annotations
@@ -74,14 +75,12 @@ def likeness(a: str, b: str) -> Column:
 def near_pairs(docs: DataFrame, threshold: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """(``doc_id``, ``class_id`` of every row; ``a``, ``b``, ``likeness`` of classes with Jaccard >= ``threshold``).
 
-    A class is the documents with one fingerprint, named by the smallest doc_id. Empty fingerprints are a class
-    without pairs.
+    A class is the documents with one fingerprint, named by the fingerprint's 64-bit hash. Empty fingerprints are a
+    class without pairs.
     """
-    marked = with_signatures(docs.select(F.col("doc_id").cast("long"), "text"), "text", "sigs").select("doc_id", "sigs", fingerprint("sigs").alias("fp"))
-    marked = written(marked, "spots")
-    classes = marked.groupBy("fp").agg(F.min("doc_id").alias("class_id"))
-    members = marked.join(classes, "fp").select("doc_id", "class_id", "sigs")
-    sets = written(members.filter("doc_id = class_id").dropDuplicates(["class_id"]).select("class_id", "sigs"), "sets")
+    marked = with_signatures(docs.select(F.col("doc_id").cast("long"), "text"), "text", "sigs")
+    members = written(marked.select("doc_id", F.xxhash64("sigs").alias("class_id"), "sigs"), "spots")
+    sets = written(members.select("class_id", "sigs").dropDuplicates(["class_id"]), "sets")
     size = F.size("sigs")
     # Partition k holds lengths in [t^-k, t^-(k+1)); sets over the threshold are in one partition or two neighbours.
     part = F.floor(F.log(size.cast("double")) / F.lit(-math.log(threshold)) + F.lit(1e-9)).cast("int").alias("part")
@@ -101,7 +100,7 @@ def near_pairs(docs: DataFrame, threshold: float = 0.8) -> tuple[DataFrame, Data
 
 
 def next_rows(rows: DataFrame) -> DataFrame:
-    """``doc_id``, ``hash``, ``n_chars`` with ``next_id`` and ``next_hash``: the following row in descending order.
+    """``rows`` (``doc_id``, ``hash``, ...) with ``next_id`` and ``next_hash``: the following row in descending order.
 
     After the last row comes the first. Rows are cut into ranges; within a range a window looks ahead, and the last
     row of a range takes the first of the next one that has rows (one row for each range).
@@ -110,13 +109,13 @@ def next_rows(rows: DataFrame) -> DataFrame:
     order = [F.col("doc_id").desc_nulls_last(), F.col("hash").desc()]
     cut = written(rows.repartitionByRange(ranges, *order).withColumn("range", F.spark_partition_id()), "ranges")
     w = Window.partitionBy("range").orderBy(*order)
-    ahead = cut.withColumns({"after": F.lead(F.struct("doc_id", "hash")).over(w), "n": F.row_number().over(w)})
-    heads = ahead.filter("n = 1").select("range", F.struct("doc_id", "hash").alias("head"))
+    ahead = cut.withColumns({"after": F.lead(F.struct("doc_id", "hash")).over(w), "place": F.row_number().over(w)})
+    heads = ahead.filter("place = 1").select("range", F.struct("doc_id", "hash").alias("head"))
     around = Window.orderBy("range")
     first = F.first("head").over(around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     heads = heads.select("range", F.coalesce(F.lead("head").over(around), first).alias("following"))
     found = ahead.join(heads, "range").withColumn("after", F.coalesce("after", "following"))
-    return found.select("doc_id", "hash", "n_chars", F.col("after.doc_id").alias("next_id"), F.col("after.hash").alias("next_hash"))
+    return found.select(*rows.columns, F.col("after.doc_id").alias("next_id"), F.col("after.hash").alias("next_hash"))
 
 
 def edited_likeness(docs: DataFrame) -> DataFrame:
@@ -130,21 +129,31 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), lowest).alias("key"), F.xxhash64("text").alias("hash"), text)
     order = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("hash"), F.coalesce(F.length("text"), F.lit(0)).alias("n_chars"))
     order = written(order.groupBy("doc_id", "hash", "n_chars").agg(F.count(F.lit(1)).alias("n")), "rows")
-    after = next_rows(order.drop("n")).select(
-        F.coalesce("doc_id", lowest).alias("to_key"), F.col("hash").alias("to_hash"), "n_chars",
+    after = next_rows(order).select(
+        F.coalesce("doc_id", lowest).alias("to_key"), F.col("hash").alias("to_hash"), "n_chars", "n",
         F.coalesce("next_id", lowest).alias("key"), F.col("next_hash").alias("hash"),
     )
     after = written(after, "next")
-    if not order.filter("n > 1").isEmpty():
+    repeated = not order.filter("n > 1").isEmpty()
+    if repeated:
         rows = rows.dropDuplicates(["key", "hash"])
     # Both joins below read this one exchange.
     texts = rows.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key", "hash")
-    sent = texts.join(after, ["key", "hash"]).select("to_key", "to_hash", F.expr("substring(text, 1, n_chars div 3)").alias("prefix"), "text")
-    sent = with_signatures(sent, "text", "next_sigs").select(F.col("to_key").alias("key"), F.col("to_hash").alias("hash"), "prefix", "next_sigs")
+    sent = texts.join(after, ["key", "hash"]).select("to_key", "to_hash", F.expr("substring(text, 1, n_chars div 3)").alias("prefix"), "text", "n")
+    sent = with_signatures(sent, "text", "next_sigs").select(F.col("to_key").alias("key"), F.col("to_hash").alias("hash"), "prefix", "next_sigs", "n")
     own = texts.join(sent, ["key", "hash"]).withColumn("n_chars", F.length("text").cast("long"))
     own = own.withColumn("edited", F.expr("concat(substring(text, 1, CAST(n_chars - n_chars div 3 AS INT)), prefix)"))
     own = with_signatures(with_signatures(own, "text", "sigs"), "edited", "edited_sigs")
-    return own.select(
+    out = own.select(
         F.nullif("key", lowest).alias("doc_id"), "n_chars", F.sha2("edited", 256).alias("edited_sha256"), fingerprint("sigs").alias("fingerprint"),
-        fingerprint("edited_sigs").alias("edited_fingerprint"), likeness("sigs", "edited_sigs").alias("near_edited"), likeness("sigs", "next_sigs").alias("near_next"),
+        fingerprint("edited_sigs").alias("edited_fingerprint"), likeness("sigs", "edited_sigs").alias("near_edited"), likeness("sigs", "next_sigs").alias("near_next"), "n",
     )
+    return _each(out) if repeated else out.drop("n")
+
+
+def _each(rows: DataFrame, step: int = 1_000) -> DataFrame:
+    """Every row ``n`` times; rows of many copies are dealt over all tasks in parts of ``step``."""
+    parts = F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / step))
+    dealt = rows.filter("n > 1").withColumn("part", F.explode(parts)).repartition("doc_id", "edited_sha256", "part")
+    copies = dealt.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(step), F.col("n") - step * F.col("part")))))
+    return rows.filter("n = 1").unionByName(copies.drop("part", "copy")).drop("n")

@@ -205,10 +205,44 @@ def test_spotsigs_edited_texts_and_pairs(docs, texts):
         t, after = texts[0][i] or "", texts[0][j] or ""
         n = len(t)
         assert got[i].n_chars == n and got[i].edited_sha256 == hashlib.sha256((t[: n - n // 3] + after[: n // 3]).encode()).hexdigest()
-    _, pairs = spotsigs.near_pairs(docs)
+    # Fingerprints from a plain reading of the texts, and likenesses from these.
+    prints = {i: plain_spots(t) for i, t in enumerate(texts[0])}
+    same = {}
+    for i, spots in prints.items():
+        same.setdefault(frozenset(spots), set()).add(got[i].fingerprint)
+        assert len(got[i].fingerprint.split(",")) == len(spots) or not spots
+    assert all(len(v) == 1 for v in same.values()) and len({v for x in same.values() for v in x}) == len(same)
+    jaccard = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
+    for i, j in zip(order, [*order[1:], order[0]], strict=True):
+        t, after = texts[0][i] or "", texts[0][j] or ""
+        edited = plain_spots(t[: len(t) - len(t) // 3] + after[: len(t) // 3])
+        assert (got[i].near_edited, got[i].near_next) == (pytest.approx(jaccard(prints[i], edited)), pytest.approx(jaccard(prints[i], prints[j])))
+    classes, pairs = spotsigs.near_pairs(docs.unionByName(docs.filter("doc_id = 9").withColumn("doc_id", F.lit(None).cast("long"))))
+    of = {r.doc_id: r.class_id for r in classes.collect()}
+    assert of[None] == of[9]
     sets = {i: frozenset(r.fingerprint.split(",")) for i, r in got.items() if r.fingerprint}
+    named = {of[i]: s for i, s in sets.items()}
     want = {frozenset((sets[a], sets[b])) for a in sets for b in sets if sets[a] != sets[b] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
-    assert {frozenset((sets[r.a], sets[r.b])) for r in pairs.collect()} == want
+    assert {frozenset((named[r.a], named[r.b])) for r in pairs.collect()} == want
+
+
+def plain_spots(text):
+    """Chains of an anchor and the next two content words among the eight words after it."""
+    words = [w for w in re.split(r"[\s!-/:-@\[-`{-~]+", (text or "").lower())]
+    content = lambda w: w != "" and w not in spotsigs.ANCHORS
+    anchors = any(w in spotsigs.ANCHORS for w in words)
+    out = set()
+    for i, w in enumerate(words):
+        if w in spotsigs.ANCHORS if anchors else w != "":
+            out.add((w, *[x for x in words[i + 1 : i + 9] if content(x)][:2]))
+    return out
+
+
+def test_spotsigs_gives_a_row_for_every_copy(spark):
+    rows = [(1, "the cat sat"), (1, "the cat sat"), (2, "and a dog"), (None, "x"), (None, "x"), (1, "other words"), (3, None), (3, "")] + [(7, "of mice and men")] * 2500
+    got = spotsigs.edited_likeness(spark.createDataFrame(rows, "doc_id long, text string").withColumns({"n": F.lit("x"), "hash": F.lit(1)}))
+    count = Counter((r.doc_id, r.n_chars) for r in got.collect())
+    assert count == Counter((i, len(t or "")) for i, t in rows)
 
 
 def test_classifiers_learn_a_planted_word(spark):
