@@ -6,11 +6,12 @@ one row per cluster are small whatever the number of players.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import PCA, PCAModel, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
@@ -217,6 +218,74 @@ def silhouette(df: DataFrame, cols: Sequence[str], cluster: str = "cluster") ->
     return rows.agg(F.avg(score).alias("silhouette"))
 
 
+def silhouette_euclidean(df: DataFrame, cols: Sequence[str], cluster: str = "cluster", tile_rows: int = 2_048) -> DataFrame:
+    """Mean silhouette with Euclidean distance, exact: the work grows with the square of the rows.
+
+    Rows are packed in tiles. A tile meets every tile, itself included, as matrices; what is kept are its rows' sums of
+    distances per cluster, so no pair of rows becomes a row, and a task holds two tiles and their distances. The
+    squared form (``silhouette``) needs one pass instead. A row without company in its cluster scores 0.
+    """
+    width = len(cols)
+    rows = df.select(F.col(cluster).cast("string").alias("c"), F.array(*[F.col(f).cast("double") for f in cols]).alias("v"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names: list[str] = []
+        held: list[np.ndarray] = []
+
+        def tile(last: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal names, held
+            x = np.concatenate(held) if held else np.zeros((0, width))
+            while len(x) >= tile_rows or (last and len(x)):
+                yield pa.record_batch([pa.array([names[:tile_rows]]), pa.array([x[:tile_rows].tobytes()])], names=["labels", "vectors"])
+                names, x = names[tile_rows:], x[tile_rows:]
+            held = [x]
+
+        for batch in batches:
+            names += batch.column("c").to_pylist()
+            held.append(batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(-1, width))
+            yield from tile(False)
+        yield from tile(True)
+
+    packed = rows.mapInArrow(pack, "labels array<string>, vectors binary")
+    tiles = stored(packed.withColumn("tile", F.monotonically_increasing_id()), "tiles")
+    size = {r["c"]: r["n"] for r in rows.groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()}
+    place = {c: i for i, c in enumerate(size)}
+    many = np.array([float(n) for n in size.values()])
+    ids = tiles.agg(F.collect_list("tile").alias("tiles"))
+    met = with_scalars(tiles, ids).select(F.explode("tiles").alias("at"), F.lit(1).alias("kind"), "labels", "vectors")
+    line = met.unionByName(tiles.select(F.col("tile").alias("at"), F.lit(0).alias("kind"), "labels", "vectors"))
+
+    def score(own: np.ndarray, total: np.ndarray) -> float:
+        each = np.arange(len(own))
+        inside = total[each, own] / np.maximum(many[own] - 1, 1)
+        mean = total / many
+        mean[each, own] = np.inf
+        outside = mean.min(axis=1)
+        top = np.maximum(inside, outside)
+        able = (many[own] > 1) & np.isfinite(outside) & (top > 0)
+        return float(np.where(able, (outside - inside) / np.where(able, top, 1), 0.0).sum())
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, x, own, total, result = None, np.zeros((0, width)), np.zeros(0, int), np.zeros((0, 0)), 0.0
+        for batch in batches:
+            for here, kind, labels, vectors in zip(*(batch.column(c) for c in ("at", "kind", "labels", "vectors")), strict=True):
+                code = np.array([place[c] for c in labels.as_py()])
+                y = np.frombuffer(vectors.as_py()).reshape(-1, width)
+                if kind.as_py() == 0:
+                    result += score(own, total) if at is not None else 0.0
+                    at, x, own, total = here.as_py(), y, code, np.zeros((len(code), len(many)))
+                else:
+                    order = np.argsort(code, kind="stable")
+                    found, starts = np.unique(code[order], return_index=True)
+                    away = np.sqrt(np.maximum((x * x).sum(1)[:, None] - 2 * x @ y[order].T + (y[order] ** 2).sum(1), 0))
+                    total[:, found] += np.add.reduceat(away, starts, axis=1)
+        result += score(own, total) if at is not None else 0.0
+        yield pa.record_batch([pa.array([result])], names=["s"])
+
+    sums = line.repartition("at").sortWithinPartitions("at", "kind").mapInArrow(meet, "s double")
+    return sums.agg((F.sum("s") / F.lit(float(many.sum()) or None)).alias("silhouette"))
+
+
 def calinski_harabasz(df: DataFrame, cols: Sequence[str], cluster: str = "cluster") -> DataFrame:
     """Between against within dispersion, each over its degrees of freedom."""
     per = cluster_moments(df, cols, cluster)

@@ -718,6 +718,12 @@ def recommend(
 # --- evaluation -----------------------------------------------------------------------------------
 
 
+def _beside(pol: DataFrame, *columns: Column) -> DataFrame:
+    """Columns of a policy, to be broadcast if it has no more states than discretised ones can be."""
+    side = stored(pol.select("state_key", *columns), "policy")
+    return F.broadcast(side) if side.count() <= MAX_STATE_KEYS else side
+
+
 def counterfactual(
     states: DataFrame, pol: DataFrame, overs: int = 2, hot: Hot | None = None
 ) -> DataFrame:
@@ -725,7 +731,7 @@ def counterfactual(
 
     Deliveries are folded to overs before the comparison, so it looks at 50 rows per innings at most.
     """
-    sub = F.broadcast(pol.select("state_key", (F.col("action") > 0).alias("_acts")))  # <= MAX_STATE_KEYS
+    sub = _beside(pol, (F.col("action") > 0).alias("_acts"))
     placed = scan(
         states, INNINGS, delivery_order(states), hot, _rn=RowNumber(), _all=Total(F.lit(1))
     ).join(sub, "state_key", "left")
@@ -773,7 +779,7 @@ def counterfactual_summary(cases: DataFrame, uplift: str = "expected_uplift") ->
 
 def policy_value(trans: DataFrame, pol: DataFrame) -> DataFrame:
     """Mean logged reward, and the mean where the logged action is the one the policy prefers."""
-    best = F.broadcast(pol.select("state_key", F.col("action").alias("_best")))  # <= MAX_STATE_KEYS
+    best = _beside(pol, F.col("action").alias("_best"))
     same = F.col("action") == F.coalesce("_best", F.lit(0))
     return (
         trans.join(best, "state_key", "left")

@@ -9,6 +9,7 @@ from stumpline.operators import decision as de
 from stumpline.plans import bridge
 from stumpline.plans.queries_delivery import big_innings, context, legacy, states
 from stumpline.plans.registry import cte, query
+from stumpline.session import stored
 from stumpline.sources import store
 
 _S = {
@@ -130,8 +131,9 @@ SELECT match_id, innings, ROW_NUMBER() OVER ({_SEQ}) AS ball_number, COUNT(*) OV
 cte("tr", "tr0", "SELECT *, CASE WHEN m4 <= 0 THEN 0.5 ELSE LEAST(GREATEST(m8 / 6 / GREATEST(m4, 0.1) - 1, -1), 1) END AS reward FROM tr0 WHERE ball_number <= n - 7")
 
 
-def logged(spark: SparkSession, folder: str) -> DataFrame:
-    return de.transitions(keyed(spark, folder), action=F.col("seq") % 3, hot=big_innings(spark, folder))
+def logged(spark: SparkSession, folder: str, known: DataFrame | None = None) -> DataFrame:
+    """Transitions of the keyed states, or of those that are passed along."""
+    return de.transitions(keyed(spark, folder) if known is None else known, action=F.col("seq") % 3, hot=big_innings(spark, folder))
 
 
 query(
@@ -147,9 +149,14 @@ def _(spark, folder):
     return de.transition_counts(logged(spark, folder))
 
 
-def mean_q(spark: SparkSession, folder: str) -> DataFrame:
+def keyed_once(spark: SparkSession, folder: str) -> DataFrame:
+    """The keyed states as a written table, for queries that read them more than once."""
+    return stored(keyed(spark, folder), "keyed")
+
+
+def mean_q(spark: SparkSession, folder: str, known: DataFrame | None = None) -> DataFrame:
     """Mean reward per state and action, to four places so that ties are the same everywhere."""
-    return logged(spark, folder).groupBy("state_key", "action").agg(F.round(F.avg("reward"), 4).alias("q"))
+    return logged(spark, folder, known).groupBy("state_key", "action").agg(F.round(F.avg("reward"), 4).alias("q"))
 
 
 cte("q", "tr", "SELECT state_key, action, ROUND(AVG(reward), 4) AS q FROM tr GROUP BY state_key, action")
@@ -162,8 +169,8 @@ SELECT *, CASE WHEN q0 >= q1 AND q0 >= q2 THEN 0 WHEN q1 >= q2 THEN 1 ELSE 2 END
   LEAST(GREATEST((GREATEST(q0, q1, q2) - LEAST(q0, q1, q2)) / 10, 0), 1) AS spread_confidence FROM po0""")
 
 
-def mean_policy(spark: SparkSession, folder: str) -> DataFrame:
-    return de.policy(mean_q(spark, folder))
+def mean_policy(spark: SparkSession, folder: str, known: DataFrame | None = None) -> DataFrame:
+    return de.policy(mean_q(spark, folder, known))
 
 
 query("policy", "state_key:s q0:d q1:d q2:d action:i action_name:s confidence:d spread_confidence:d", "SELECT * FROM po", "po")(mean_policy)
@@ -344,8 +351,8 @@ def _last_states(states: DataFrame) -> DataFrame:
 
 
 def _recommended(spark, folder, model=None, probability=None):
-    s = keyed(spark, folder)
-    out = de.recommend(_last_states(s), s, mean_policy(spark, folder), model, probability=probability)
+    s = keyed_once(spark, folder)
+    out = de.recommend(_last_states(s), s, mean_policy(spark, folder, s), model, probability=probability)
     return out.withColumn("candidates", F.concat_ws(",", F.transform("candidates", lambda c: c["player"])))
 
 
@@ -387,7 +394,8 @@ cte("cf", "cf2", "SELECT *, runs_after_opt - runs_after_actual AS expected_uplif
 
 
 def cases(spark: SparkSession, folder: str) -> DataFrame:
-    return de.counterfactual(keyed(spark, folder), mean_policy(spark, folder), hot=big_innings(spark, folder))
+    s = keyed_once(spark, folder)
+    return de.counterfactual(s, mean_policy(spark, folder, s), hot=big_innings(spark, folder))
 
 
 query(
@@ -414,12 +422,21 @@ def _(spark, folder):
     "tr po",
 )
 def _(spark, folder):
-    return de.policy_value(logged(spark, folder), mean_policy(spark, folder))
+    s = keyed_once(spark, folder)
+    return de.policy_value(logged(spark, folder, s), mean_policy(spark, folder, s))
 
 
 @query("export_policy", "state_key:s action:i q:d", "SELECT * FROM q", "q")
 def _(spark, folder):
-    """Policy values that went through JSON, state vectors through parquet."""
+    """Policy values that went through JSON."""
     out = bridge.shared_folder(spark)
-    store.export_results(out, {"match_state_vectors": keyed(spark, folder)}, {"q_table": mean_q(spark, folder)})
+    store.export_results(out, {}, {"q_table": mean_q(spark, folder)})
     return store.read_policy(spark, f"{out}/q_table.json")
+
+
+@query("export_state_vectors", KEY + " ".join(f"{c}:d" for c in de.STATE_COLUMNS), "SELECT * FROM sv", "sv")
+def _(spark, folder):
+    """State vectors that went through parquet."""
+    out = bridge.shared_folder(spark)
+    store.export_results(out, {"match_state_vectors": vectors(spark, folder)})
+    return store.read_results(spark, out, "match_state_vectors")

@@ -244,9 +244,13 @@ def _(spark, folder):
     return store.store_inventory(spark, _store(spark, folder))
 
 
-@query("store_inventory", "table:s present:b rows:l bytes:l all_ready:b")
+@query(
+    "store_inventory", "table:s present:b rows:l filled:b all_ready:b",
+    " UNION ALL ".join(f"SELECT '{k}' AS \"table\", TRUE AS present, {v} AS rows, TRUE AS filled, TRUE AS all_ready FROM cleaned" for k, v in _COUNTS.items()),
+    "cleaned",
+)
 def _(spark, folder):
-    return store.store_inventory(spark, _store(spark, folder))
+    return store.store_inventory(spark, _store(spark, folder)).withColumn("filled", F.col("bytes") > 0)
 
 
 @query(

@@ -162,6 +162,18 @@ def _(spark, folder):
     return cl.silhouette(df, names)
 
 
+@query(
+    "silhouette_euclidean", "silhouette:d",
+    """SELECT AVG(CASE WHEN n = 1 THEN 0 ELSE (b - a) / GREATEST(a, b) END) AS silhouette FROM (
+      SELECT player, MAX(CASE WHEN same THEN n END) AS n, MAX(CASE WHEN same THEN total / (n - 1) END) AS a, MIN(CASE WHEN NOT same THEN total / n END) AS b FROM (
+        SELECT p.player, p.cluster = q.cluster AS same, q.cluster, COUNT(*) AS n, SUM(SQRT(list_sum(list_transform(list_zip(p.e, q.e), lambda z: (CAST(z[1] AS DOUBLE) - z[2]) * (CAST(z[1] AS DOUBLE) - z[2]))))) AS total
+        FROM (SELECT vec_id AS player, label AS cluster, embedding AS e FROM embeddings) p, (SELECT label AS cluster, embedding AS e FROM embeddings) q GROUP BY p.player, p.cluster = q.cluster, q.cluster) GROUP BY player)""",
+)
+def _(spark, folder):
+    df, names = bridge.vectors(spark, folder)
+    return cl.silhouette_euclidean(df, names)
+
+
 @query(
     "calinski_harabasz", "calinski_harabasz:d",
     """SELECT bt * (n - k) / (wt * (k - 1)) AS calinski_harabasz FROM (

@@ -98,6 +98,11 @@ def export_results(folder: str, parquet: Mapping[str, DataFrame], json: Mapping[
         df.write.mode("overwrite").json(f"{folder.rstrip('/')}/{name}.json")
 
 
+def read_results(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A result table written by ``export_results``."""
+    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+
+
 def read_policy(spark: SparkSession, path: str) -> DataFrame:
     """State-action values written by ``export_results``."""
     return spark.read.schema("state_key string, action int, q double").json(path)

@@ -185,6 +185,9 @@ def test_silhouettes(points):
     rows, df = points
     cols = ["a", "b", "c", "d"]
     assert cl.silhouette(df, cols).first()[0] == pytest.approx(brute_silhouette(rows, 2))
+    for tile in (7, 2048):
+        assert cl.silhouette_euclidean(df, cols, tile_rows=tile).first()[0] == pytest.approx(brute_silhouette(rows, 1))
+    assert cl.silhouette_euclidean(df.limit(0), cols).first()[0] is None
 
 
 def test_clusters_are_found_and_predicted(points):
