@@ -413,16 +413,62 @@ def _(spark, folder):
     return sel.rank_for_situation(profiles(spark, folder), pr.PROFILE_FEATURES)
 
 
-_DYN = sel.dynamic_weights(10.5, 4, 4)
+_LATE, _FEW, _HIGH = "overs_left <= 6", "wickets_left <= 5", "rrr > 8"
+_DYN = {
+    "death_overs_sr": f"CASE WHEN {_LATE} THEN 0.30 WHEN rrr > 6 THEN 0.20 ELSE 0.10 END", "chase_pressure_sr": f"CASE WHEN {_HIGH} THEN 0.30 ELSE 0.15 END",
+    "clutch_boundary_rate": f"CASE WHEN {_HIGH} THEN 0.20 ELSE 0.10 END", "boundary_dependency": f"CASE WHEN {_HIGH} AND NOT {_FEW} THEN 0.10 ELSE 0.05 END",
+    "dot_ball_recovery_rate": f"CASE WHEN {_FEW} THEN 0.15 ELSE 0.10 END", "pressure_consistency": f"CASE WHEN {_LATE} THEN 0.05 ELSE 0.15 END",
+}
+
+
+def _dynamic(states: str, n: int) -> str:
+    made = ", ".join(f"({w})::DOUBLE AS w{i}" for i, w in enumerate(_DYN.values()))
+    total = " + ".join(f"w{i}" for i in range(len(_DYN)))
+    score = " + ".join(f"{f} * (w{i} / ({total}))" for i, f in enumerate(_DYN))
+    return (
+        f"SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY state_id ORDER BY compatibility DESC, player) AS rank FROM ("
+        f"SELECT state_id, player, overall_sr, ({score}) / (SELECT MAX(overall_sr) FROM prof) AS compatibility FROM prof, (SELECT state_id, {made} FROM {states}))) WHERE rank <= {n}"
+    )
+
+
+_RANKED = "player:s overall_sr:d compatibility:d"
+
+
+@query("rank_dynamic_weights", _RANKED, _dynamic("(SELECT 'a' AS state_id, 10.5::DOUBLE AS rrr, 4 AS wickets_left, 4 AS overs_left)", 5), "prof")
+def _(spark, folder):
+    asked = spark.createDataFrame([("a", 10.5, 4.0, 4.0)], "state_id string, required_run_rate double, wickets_left double, overs_left double")
+    return sel.rank_dynamic(profiles(spark, folder), asked)
+
+
+cte("rs", "os", """
+SELECT concat_ws('-', match_id, innings, over_no) AS state_id, required_run_rate AS rrr, wickets_remaining AS wickets_left, overs_remaining AS overs_left, innings = 2 AS chase FROM os""")
+_NAME = "CASE WHEN chase AND overs_left <= 4 AND rrr > 10 THEN 'death_chase' WHEN chase AND rrr > 8 THEN 'high_chase' WHEN wickets_left <= 5 THEN 'collapse' ELSE 'default' END"
+
+
+def _over_situations(spark, folder):
+    """Every over's state as a situation."""
+    from stumpline.plans.queries_decision import over_states
+
+    return over_states(spark, folder).select(
+        F.concat_ws("-", "match_id", "innings", "over").alias("state_id"), "required_run_rate", F.col("wickets_remaining").alias("wickets_left"),
+        F.col("overs_remaining").alias("overs_left"), (F.col("innings") == 2).alias("is_chase"),
+    )
+
+
+@query("rank_dynamic_states", f"state_id:s rank:i {_RANKED}", _dynamic("rs", 5), "prof rs d")
+def _(spark, folder):
+    return sel.rank_dynamic(profiles(spark, folder), _over_situations(spark, folder))
 
 
 @query(
-    "rank_dynamic_weights", "player:s overall_sr:d compatibility:d",
-    "SELECT player, overall_sr, (" + " + ".join(f"{f} * {v:.17e}" for f, v in _DYN.items()) + ") / (SELECT MAX(overall_sr) FROM prof) AS compatibility FROM prof ORDER BY compatibility DESC, player LIMIT 5",
-    "prof",
+    "rank_for_states", "state_id:s situation:s player:s compatibility:d rank:i",
+    f"SELECT state_id, l.* FROM (SELECT state_id, {_NAME} AS situation FROM rs) JOIN (SELECT *, ROW_NUMBER() OVER (PARTITION BY situation ORDER BY compatibility DESC, player) AS rank FROM ("
+    + " UNION ALL ".join(f"SELECT '{s}' AS situation, player, {_weights(s)} AS compatibility FROM pn" for s in sel.SITUATION_WEIGHTS)
+    + ")) l USING (situation) WHERE rank <= 3",
+    "pn rs d",
 )
 def _(spark, folder):
-    return sel.rank_dynamic(profiles(spark, folder), 10.5, 4, 4)
+    return sel.rank_for_states(profiles(spark, folder), pr.PROFILE_FEATURES, _over_situations(spark, folder))
 
 
 LINEUP = ["P0", "P1", "P2", "P3", "P4", "P5"]

@@ -204,11 +204,14 @@ def test_clusters_are_found_and_predicted(points):
     assert np.linalg.norm(fit.projection.loadings, axis=0) == pytest.approx(1)
 
 
-def test_weights_sum_to_one():
-    for rrr, left, overs in ((12, 3, 4), (7, 8, 10), (3, 2, 20)):
-        assert sum(sel.dynamic_weights(rrr, left, overs).values()) == pytest.approx(1)
-    assert sel.situation_of({"required_run_rate": 12, "overs_remaining": 4}) == "death_chase"
-    assert sel.situation_of({"required_run_rate": 5, "wickets_left": 3}) == "collapse"
+def test_weights_sum_to_one_and_situations_are_named(spark):
+    rows = [("a", 12.0, 3.0, 4.0, None), ("b", 7.0, 8.0, 10.0, True), ("c", 3.0, 2.0, 20.0, False), ("d", None, None, None, None), ("e", 12.0, 9.0, 4.0, False)]
+    df = spark.createDataFrame(rows, "id string, rrr double, left double, overs double, chase boolean")
+    cols = [F.col(c) for c in ("rrr", "left", "overs")]
+    total = sum(sel.dynamic_weights(*cols).values())
+    got = {r[0]: (r[1], r[2]) for r in df.select("id", total, sel.situation(*cols, F.col("chase"))).collect()}
+    assert all(v[0] == pytest.approx(1) for k, v in got.items())
+    assert {k: v[1] for k, v in got.items()} == {"a": "death_chase", "b": "default", "c": "collapse", "d": "default", "e": "default"}
 
 
 def test_q_values_solve_a_two_state_log(spark):
