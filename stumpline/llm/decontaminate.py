@@ -8,8 +8,9 @@ Suffixes are ordered by refining groups of equal prefixes, the transform goes in
 are searched at once by its ranks, and occurrences are located by walking back to sampled suffix positions.
 Overlapping occurrences merge into spans.
 
-The benchmark is a stated query set: it is read in blocks of ``BLOCK_WORDS`` words, each broadcast on its own,
-and every shard is indexed once per block, so its size is not limited by memory.
+The benchmark is a stated query set: it is read in blocks of ``BLOCK_WORDS`` words, each a broadcast file of its own.
+Every shard is indexed once per block; driver and workers load one block at a time and forget it before the next, so
+memory holds a shard and a block, whatever the benchmark's size. All blocks lie on the executors' disks.
 
 Null and empty texts have no words and no hits; null or empty items have no windows; repeated items and repeated
 rows each count on their own. Items are listed once per document; items without an id are ignored.
@@ -226,8 +227,7 @@ def search_shard(texts: pa.Array, blocks: list[Broadcast]) -> Found:
     words = bytescan.hashes(data, starts, ends)
     change = np.zeros(len(words) + 1, np.int64)
     items: dict[int, set[str]] = {}
-    for block in blocks:
-        windows = block.value
+    for windows in _loaded(blocks):
         place, which = occurrences(words, row, windows)
         np.add.at(change, place, 1)
         np.add.at(change, place + windows.sizes[which], -1)
@@ -241,6 +241,19 @@ def search_shard(texts: pa.Array, blocks: list[Broadcast]) -> Found:
     return Found(count, hit, row, starts, ends, [sorted(items.get(i, ())) for i in range(len(texts))])
 
 
+def _loaded(blocks: list[Broadcast]) -> Iterator[Windows]:
+    """One block after another; a single one stays loaded for the next shard."""
+    for block in blocks:
+        yield block.value
+        if len(blocks) > 1:
+            _forget(block)
+
+
+def _forget(block: Broadcast) -> None:
+    """Drop what this process has loaded; the block's file remains and is read again when it is asked for."""
+    vars(block).pop("_value", None)
+
+
 def benchmark_blocks(benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> list[Broadcast]:
     """Broadcast windows of the benchmark, at most about ``block_words`` words at a time."""
     spark = benchmark.sparkSession
@@ -250,7 +263,8 @@ def benchmark_blocks(benchmark: DataFrame, window: int = WINDOW, block_words: in
     out = []
     for i in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == i).orderBy("item", "text")
-        out.append(spark.sparkContext.broadcast(windows_of([(r.item, r.text) for r in part.collect()], window)))
+        out.append(spark.sparkContext.broadcast(windows_of([(r.item, r.text) for r in part.toLocalIterator()], window)))
+        _forget(out[-1])
     return out
 
 
@@ -266,10 +280,10 @@ def _shards(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Table
         yield pa.Table.from_batches(held)
 
 
-def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def hits(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Per row: ``doc_id``, ``n_words``, ``n_hit``, ``n_items``, ``items_sha256``, ``contaminated``, and the byte ``spans`` hit."""
     bounded_batches(docs.sparkSession)
-    blocks = benchmark_blocks(benchmark)
+    blocks = benchmark_blocks(benchmark, block_words=block_words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in _shards(batches, "text"):
@@ -327,10 +341,10 @@ def clean_array(texts: pa.Array, blocks: list[Broadcast]) -> pa.Array:
     return pa.array(out, pa.string())
 
 
-def remove_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def remove_spans(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` with every benchmark passage cut out of ``text`` and ``n_chars`` counted anew; all rows stay."""
     bounded_batches(docs.sparkSession)
-    blocks = benchmark_blocks(benchmark)
+    blocks = benchmark_blocks(benchmark, block_words=block_words)
 
     @F.arrow_udf("string")
     def cleaned(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:

@@ -97,6 +97,22 @@ def test_decontamination_matches_a_plain_search(spark, docs, texts):
     assert clean.count() == docs.count()
 
 
+def test_many_small_benchmark_blocks_give_the_same_and_are_forgotten(spark, docs, texts):
+    rng = random.Random(8)
+    long = re.findall(r"\S+", texts[0][-1])
+    starts = [rng.randrange(len(long) - 12) for _ in range(30)]
+    bench = spark.createDataFrame([(i, " ".join(long[a : a + 12])) for i, a in enumerate(starts)] + [(99, texts[1])], "item_id long, text string")
+    want = sorted(map(tuple, decontaminate.hits(docs, bench).drop("spans").collect()), key=str)
+    got = decontaminate.hits(docs, bench, block_words=20)
+    assert sorted(map(tuple, got.drop("spans").collect()), key=str) == want
+    blocks = decontaminate.benchmark_blocks(bench, block_words=20)
+    assert len(blocks) > 15
+    found = decontaminate.search_shard(pa.array(texts[0][-3:]), blocks)
+    assert found.hit.any() and not any("_value" in vars(b) for b in blocks)
+    cleaned = decontaminate.remove_spans(docs, bench, block_words=20)
+    assert not decontaminate.hits(cleaned, bench).filter("contaminated").count()
+
+
 def test_suffix_order_is_that_of_sorted_suffixes():
     rng = np.random.default_rng(1)
     for _ in range(30):
