@@ -3,8 +3,11 @@
 Every Spark partition sorts its captures by URL key and time and writes them as WARC 1.1 files (one gzip stream
 each) through Spark's writer, so any store Spark writes to will do. Of captures with equal payloads of at least
 ``MIN_REVISIT`` bytes, that with the smallest page_id is a response and the others are revisits without payload.
-Each archive, read back record by record, is a sorted run of the index. The runs are cut at common key ranges,
-and every range is merged by a loser tree into the globally ordered capture history.
+Archives are bounded by records and by bytes: captures are written by class of size, the larger the fewer to a file,
+and a page that is larger than an archive should be has one to itself.
+Each archive, read back record by record, is a sorted run of the index. The runs are cut at common ranges of key,
+page, run and place, so that captures with one key are cut as well, and every range is merged by a loser tree into
+the globally ordered capture history.
 
 Pages have no capture time, so ``EPOCH`` plus the page's id in seconds serves as one. A null html is an empty
 payload, a null url an empty one. A null page_id is never the one referred to unless all its copies have none;
@@ -28,8 +31,9 @@ from stumpline.session import shared_folder
 
 EPOCH = "2024-01-01T00:00:00Z"
 MIN_REVISIT = 0
-#: Records of one archive and rows of one merge, at most about.
+#: Records of one archive, their bytes before compression, and rows of one merge, at most about.
 ARCHIVE_RECORDS = 20_000
+ARCHIVE_BYTES = 512 << 20
 MERGE_ROWS = 100_000
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _INDEX = "run string, seq long, page_id long, url_key string, captured string, payload_bytes long, payload_digest string, record_type string, refers_to long, intact boolean"
@@ -64,7 +68,14 @@ def captures(pages: DataFrame, min_revisit: int = MIN_REVISIT) -> DataFrame:
     return rows.join(again, F.col("page_id").eqNullSafe(F.col("p")) & (F.col("digest") == F.col("d")), "left").drop("p", "d")
 
 
-def write_archives(found: DataFrame, path: str) -> None:
+def _size_class(archive_records: int, archive_bytes: int) -> Column:
+    """0 where ``archive_records`` such captures fit an archive; every class above has 16 times larger ones."""
+    size = F.col("bytes") + 3 * F.octet_length("url") + 1_024
+    fits = [(archive_bytes // archive_records) << 4 * k for k in range(archive_records.bit_length() // 4 + 1)]
+    return sum((F.when(size > most, 1).otherwise(0) for most in fits), F.lit(0))
+
+
+def write_archives(found: DataFrame, path: str, archive_records: int = ARCHIVE_RECORDS, archive_bytes: int = ARCHIVE_BYTES) -> None:
     """Write captures as WARC files below ``path``; each file is sorted by URL key, time and page."""
     end = "\r\n"
     revisit = F.col("refers_to").isNotNull()
@@ -86,8 +97,12 @@ def write_archives(found: DataFrame, path: str) -> None:
     more = F.when(revisit, F.concat(F.lit(f"WARC-Profile: {_PROFILE}{end}WARC-Refers-To: "), name("refers_to"), F.lit(end))).otherwise(F.lit(""))
     # The writer adds the last line feed.
     record = F.concat(*head, more, F.lit(end), F.col("block"), F.lit("\r\n\r")).alias("value")
-    ordered = found.withColumn("block", block).sortWithinPartitions("url_key", "captured", "page_id").select(record)
-    ordered.write.option("maxRecordsPerFile", ARCHIVE_RECORDS).option("compression", "gzip").text(path)
+    size_class = _size_class(archive_records, archive_bytes)
+    for k in sorted(r.k for r in found.select(size_class.alias("k")).distinct().collect()) or [0]:
+        alike = found.filter(size_class == k).withColumn("block", block)
+        ordered = alike.sortWithinPartitions("url_key", "captured", "page_id").select(record)
+        most = max(1, archive_records >> 4 * k)
+        ordered.write.mode("append").option("maxRecordsPerFile", most).option("compression", "gzip").text(path)
 
 
 def records(archive: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -220,7 +235,8 @@ def merged_history(index: DataFrame) -> DataFrame:
         out = table.take(order).append_column("seq_in_range", pa.array(range(len(order)), pa.int64()))
         yield from out.combine_chunks().to_batches()
 
-    sliced = index.repartitionByRange(ranges, "url_key", "captured", "page_id").sortWithinPartitions("run", "seq")
+    # Of equal keys the merge takes the earlier run first, so run and place may cut them without changing the order.
+    sliced = index.repartitionByRange(ranges, "url_key", "captured", "page_id", "run", "seq").sortWithinPartitions("run", "seq")
     merged = sliced.mapInArrow(merge, _INDEX + ", seq_in_range long").withColumn("range", F.spark_partition_id())
     merged = written(merged, "history")
     # One row for each range, so a window without keys is small.

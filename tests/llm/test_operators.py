@@ -207,6 +207,31 @@ def test_warc_round_trip_with_revisits(spark):
     assert [(r.url_key, r.captured) for r in order] == sorted((r.url_key, r.captured) for r in order)
 
 
+def test_archives_are_bounded_by_bytes(spark, tmp_path):
+    sizes = [50] * 30 + [9_000] * 10 + [30_000] * 6 + [200_000]
+    pages = spark.createDataFrame([(i, f"http://h{i % 3}.org/{i}", f"{i:06}" + "x" * n) for i, n in enumerate(sizes)], "page_id long, url string, html string").coalesce(1)
+    warc.write_archives(warc.captures(pages), str(tmp_path / "out"), archive_records=16, archive_bytes=320_000)
+    seen, counts = [], []
+    for file in (tmp_path / "out").glob("*.gz"):
+        found = [(h["X-URL-Key"], int(h["X-Payload-Length"])) for h, _ in warc.records(file.read_bytes())]
+        assert found == sorted(found) and len(found) <= 16 and sum(n for _, n in found) <= 320_000
+        seen += [n for _, n in found]
+        counts.append(len(found))
+    assert sorted(seen) == sorted(n + 6 for n in sizes) and max(counts) == 16
+    assert warc.read_archives(spark.read.format("binaryFile").load(str(tmp_path / "out"))).filter("intact").count() == len(sizes)
+
+
+def test_captures_with_one_key_are_merged_in_several_ranges(spark, tmp_path):
+    pages = spark.createDataFrame([(None, "http://a.org/", "same")] * 900 + [(i, "http://a.org/", str(i)) for i in range(20)], "page_id long, url string, html string")
+    warc.write_archives(warc.captures(pages.repartition(4)), str(tmp_path / "out"), archive_records=100)
+    index = warc.read_archives(spark.read.format("binaryFile").load(str(tmp_path / "out")))
+    rows = warc.merged_history(index).collect()
+    assert sorted(r.position for r in rows) == list(range(920))
+    order = [(r.captured, r.page_id is not None, r.page_id or 0, r.run, r.seq) for r in sorted(rows, key=lambda r: r.position)]
+    assert order == sorted(order)
+    assert max(Counter(r.range for r in rows).values()) < 500
+
+
 def test_loser_tree_merges_runs():
     rng = random.Random(2)
     for k in (1, 2, 5, 8):
