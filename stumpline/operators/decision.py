@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -278,12 +279,12 @@ def transition_counts(trans: DataFrame) -> DataFrame:
     )
 
 
-def _backup(log: DataFrame, names: list[str], values: np.ndarray, gamma: float) -> DataFrame:
-    """One sweep: ``state_key``, ``action``, ``q`` from the values of the next states, which are broadcast."""
-    table = log.sparkSession.createDataFrame(list(zip(names, values.tolist(), strict=True)), "next_state_key string, _value double")
-    after = F.col("n") * F.coalesce("_value", F.lit(0.0))
+def _backup(log: DataFrame, values: np.ndarray, gamma: float) -> DataFrame:
+    """One sweep: ``state_key``, ``action``, ``q`` from the values of all states, a constant in which ``next_place`` looks up."""
+    table = F.split(F.lit(",".join(map(repr, values.tolist() or [0.0]))), ",").cast("array<double>")
+    after = F.col("n") * F.coalesce(F.get(table, F.col("next_place")), F.lit(0.0))
     q = (F.sum("reward_sum") + gamma * F.sum(after)) / F.sum("n")
-    return log.join(F.broadcast(table), "next_state_key", "left").groupBy("state_key", "action").agg(q.alias("q"))
+    return log.groupBy("state_key", "action").agg(q.alias("q"))
 
 
 def _mixed(points: list[np.ndarray], images: list[np.ndarray]) -> np.ndarray:
@@ -301,11 +302,11 @@ def batch_q_iteration(
 ) -> DataFrame:
     """The fixed point of Q(s, a) = mean of r + gamma max Q(s', .) over the logged transitions.
 
-    Bulk-synchronous sweeps: the log, folded to one row per (state, action, next state), is written once; a sweep
-    broadcasts the values of all states (at most MAX_STATE_KEYS, which is checked), joins them to the log and sums per
-    (state, action); these sums come back. The next values are the combination of the last
-    ``memory`` ones that leaves the smallest gap, which takes a fraction of the plain sweeps; where it makes the gap larger,
-    plain sweeps go on. A step size would not move the fixed point, so full backups are made until no state's value is
+    Bulk-synchronous sweeps: the log, folded to one row per (state, action, next state), is written once and kept
+    partitioned by state while it is swept, so a sweep shuffles nothing. It carries the values of all states (at most
+    MAX_STATE_KEYS, which is checked) as a constant and sums per (state, action); these sums come back. The next values
+    are the combination of the last ``memory`` ones that leaves the smallest gap, which takes a fraction of the plain
+    sweeps; where it makes the gap larger, plain sweeps go on. A step size would not move the fixed point, so full backups are made until no state's value is
     off its own backup by more than ``tolerance``; if ``sweeps`` do not suffice, the job fails. A next state that was
     never left has value 0.
     """
@@ -316,24 +317,33 @@ def batch_q_iteration(
     if len(names) > MAX_STATE_KEYS or len(pairs) > MAX_STATE_KEYS * MAX_ACTIONS:
         raise ValueError("state keys are not discretised")
     place = {name: i for i, name in enumerate(names)}
-    value, least, gap = np.zeros(len(names)), np.inf, 0.0
+    places = pa.table({"next_state_key": pa.array(names, pa.string()), "next_place": pa.array(range(len(names)), pa.int32())})
+    log = log.join(F.broadcast(log.sparkSession.createDataFrame(places)), "next_state_key", "left")
+    held = log.repartition("state_key").cache()
+    try:
+        return _backup(log, _fixed_point(held, place, gamma, tolerance, sweeps, memory), gamma)
+    finally:
+        held.unpersist()
+
+
+def _fixed_point(log: DataFrame, place: dict[str, int], gamma: float, tolerance: float, sweeps: int, memory: int) -> np.ndarray:
+    """The value of every state, by place."""
+    value, least, gap = np.zeros(len(place)), np.inf, 0.0
     points: list[np.ndarray] = []
     images: list[np.ndarray] = []
     for _ in range(sweeps):
-        found = _backup(log, names, value, gamma).select("state_key", "q").toArrow()
-        image = np.full(len(names), -np.inf)
+        found = _backup(log, value, gamma).select("state_key", "q").toArrow()
+        image = np.full(len(place), -np.inf)
         np.maximum.at(image, [place[k] for k in found.column(0).to_pylist()], found.column(1).to_numpy())
         gap = float(np.abs(image - value).max(initial=0.0))
         if gap <= tolerance:
-            break
+            return value
         if gap > least:
             points, images = [], []
         least = min(least, gap)
         points, images = [*points, value][-memory:], [*images, image][-memory:]
         value = _mixed(points, images)
-    else:
-        raise RuntimeError(f"values still move by {gap} after {sweeps} sweeps")
-    return _backup(log, names, value, gamma)
+    raise RuntimeError(f"values still move by {gap} after {sweeps} sweeps")
 
 
 def policy(q: DataFrame) -> DataFrame:

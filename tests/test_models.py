@@ -226,6 +226,25 @@ def test_q_values_solve_a_two_state_log(spark):
     assert best == {"x": "no_substitution", "y": "no_substitution"}
 
 
+def test_q_values_of_a_random_log_are_a_fixed_point_and_nothing_stays_cached(spark):
+    held = spark.sparkContext._jsc.getPersistentRDDs().size()
+    rng = np.random.default_rng(4)
+    rows = {(f"s{rng.integers(40)}", int(rng.integers(3)), f"s{rng.integers(50)}"): (int(rng.integers(1, 9)), float(rng.normal())) for _ in range(400)}
+    schema = "state_key string, action int, next_state_key string, n long, reward_sum double"
+    counts = spark.createDataFrame([(*k, *v) for k, v in rows.items()], schema)
+    q = {(r[0], r[1]): r[2] for r in de.batch_q_iteration(counts, gamma=0.9).collect()}
+    value = {}
+    for (s, _), v in q.items():
+        value[s] = max(v, value.get(s, -np.inf))
+    want = {}
+    for (s, a, t), (n, reward) in rows.items():
+        total, gain = want.get((s, a), (0, 0.0))
+        want[s, a] = total + n, gain + reward + 0.9 * n * value.get(t, 0.0)
+    assert q == pytest.approx({k: gain / total for k, (total, gain) in want.items()}, abs=1e-9)
+    assert de.batch_q_iteration(spark.createDataFrame([], schema)).count() == 0
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= held
+
+
 def test_value_iteration_fails_when_not_converged(spark):
     counts = spark.createDataFrame([("x", 0, "x", 1, 1.0)], "state_key string, action int, next_state_key string, n long, reward_sum double")
     with pytest.raises(Exception, match="still move"):
