@@ -169,9 +169,12 @@ def hash_share(*cols: str) -> Column:
 
 
 def train_benefit_classifier(
-    labelled: DataFrame, trees: int = 100, depth: int = 4, step: float = 0.1, kind: str = "gbt"
+    labelled: DataFrame, trees: int = 100, depth: int = 4, step: float = 0.1, kind: str = "gbt", iterations: int = 1_000
 ) -> tuple[object, DataFrame]:
-    """Classifier of ``sub_benefit`` on 70 % of the deliveries; the scored other 30 % is returned."""
+    """Classifier of ``sub_benefit`` on 70 % of the deliveries; the scored other 30 % is returned.
+
+    ``kind`` is "gbt" (``trees``, ``depth``, ``step``) or "logistic"; the latter raises where ``iterations`` do not suffice.
+    """
     keys = [c for c in (*INNINGS, "over", "ball", "seq", "batter", "bowler") if c in labelled.columns]
     df = VectorAssembler(inputCols=list(STATE_COLUMNS), outputCol="features").transform(
         labelled.withColumn("_share", hash_share(*keys))
@@ -180,8 +183,10 @@ def train_benefit_classifier(
     if kind == "gbt":
         learner = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=step, seed=42, **common)
     else:
-        learner = LogisticRegression(maxIter=100, **common)
+        learner = LogisticRegression(maxIter=iterations, **common)
     model = learner.fit(df.filter("_share < 0.7"))
+    if kind != "gbt" and model.summary.totalIterations >= iterations:
+        raise RuntimeError(f"the classifier has not converged after {iterations} iterations")
     scored = score_classifier(model, df.filter("_share >= 0.7"))
     return model, scored.drop("features", "_share")
 

@@ -226,6 +226,18 @@ def test_q_values_solve_a_two_state_log(spark):
     assert best == {"x": "no_substitution", "y": "no_substitution"}
 
 
+def test_logistic_benefit_classifier_converges_or_raises(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, 1, 1 + i // 6, *x, int(x[0] + rng.normal() > 0)) for i, x in enumerate(rng.normal(size=(300, len(de.STATE_COLUMNS))).tolist())]
+    schema = "match_id long, innings int, over int, " + ", ".join(f"{c} double" for c in de.STATE_COLUMNS) + ", sub_benefit int"
+    df = spark.createDataFrame(rows, schema)
+    model, scored = de.train_benefit_classifier(df, kind="logistic")
+    weights = np.abs(model.coefficients.toArray())
+    assert weights.argmax() == 0 and scored.filter("(probability > 0.5) = (sub_benefit = 1)").count() > 0.6 * scored.count()
+    with pytest.raises(RuntimeError, match="not converged"):
+        de.train_benefit_classifier(df, kind="logistic", iterations=1)
+
+
 def test_q_values_of_a_random_log_are_a_fixed_point_and_nothing_stays_cached(spark):
     held = spark.sparkContext._jsc.getPersistentRDDs().size()
     rng = np.random.default_rng(4)
