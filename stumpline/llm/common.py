@@ -51,12 +51,12 @@ def remainder(doc_id: str | Column, n: int) -> Column:
 
 
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, rows: int, held_out: int = 5, extra: tuple[str, ...] = ()
+    docs: DataFrame, labels: DataFrame, label: str, rows: int | None, held_out: int = 5, extra: tuple[str, ...] = ()
 ) -> DataFrame:
-    """About ``rows`` labelled documents outside the held-out fold: ``_text``, ``_label``, ``_order`` and ``extra``.
+    """About ``rows`` labelled documents, or all for None, outside the held-out fold: ``_text``, ``_label``, ``_order`` and ``extra``.
 
     The sample is a range of hashed ids, the same in every run. At most ``rows`` labels (plus chance) are
-    broadcast, and of a repeated id the text with the smallest hash counts, chosen in each task before the shuffle.
+    broadcast; all labels are joined as Spark sees fit. Of a repeated id the text with the smallest hash counts, chosen in each task before the shuffle.
     Labels that are null are left out; of repeated labels the largest counts.
     """
     known = (
@@ -65,11 +65,13 @@ def labelled_sample(
         .agg(F.max(label).cast("int").alias("_label"))
         .withColumn("_order", F.xxhash64("doc_id", F.lit("sample")))
     )
-    there = known.count()
-    if there > rows:
-        known = known.filter(F.pmod("_order", F.lit(1_000_000)) < int(1e6 * rows / there))
+    if rows is not None:
+        there = known.count()
+        if there > rows:
+            known = known.filter(F.pmod("_order", F.lit(1_000_000)) < int(1e6 * rows / there))
+        known = F.broadcast(known)
     texts = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("_text"), *extra)
-    found = texts.join(F.broadcast(known), "doc_id")
+    found = texts.join(known, "doc_id")
     one = F.min(F.struct(F.xxhash64("_text").alias("_hash"), *extra, "_text", "_label", "_order")).alias("r")
     return found.groupBy("doc_id").agg(one).select("r._text", "r._label", "r._order", *(f"r.{c}" for c in extra))
 

@@ -75,3 +75,32 @@ def test_thresholds_by_language(spark):
     got = toxicity.scores(more, labels).collect()
     assert len(got) == 301 and len({r.threshold for r in got}) <= 4
     assert all(r.flagged == int(r.score >= r.threshold) for r in got)
+
+
+def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
+    """A word that few texts hold counts wherever they lie, and shards of one row set give one net."""
+    rows = [(i, f"odd{i % 40} words" if i % 2 else f"even{i % 40} words", None) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")
+    fitted = toxicity.fit_ids(docs, labels)
+    used = docs.join(labels, "doc_id").filter("crc32(cast(cast(doc_id as string) as binary)) % 5 != 0")
+    assert fitted.count() == used.count()
+    one, many = toxicity.train(docs, labels), toxicity.train(docs, labels, 50, 150)
+    texts = pa.array([r[1] for r in rows[:40]])
+    for net in (one, many):
+        score = toxicity.score_array(texts, net)
+        assert (score[1::2] > 0.5).all() and (score[::2] < 0.5).all()
+    odds = toxicity.log_odds(*toxicity.bucket_counts(np.array([3, 3, 5], np.int32), np.array([2, 1]), np.array([1.0, 0.0])), 2, 1.0)
+    assert odds[3] > 0 > odds[5] and odds[0] == 0
+
+
+def test_thresholds_in_spark_match_the_plain_ones(spark, hot):
+    rng = random.Random(3)
+    rows = [("ab"[i % 2], round(rng.random(), 2), rng.randint(0, 1)) for i in range(300)] + [("c", 0.4, 1), ("c", 0.6, 1)]
+    table = spark.createDataFrame(rows, "tongue string, score double, _label int")
+    for limit in (1_000_000, 20):
+        hot(limit)
+        got = {r.tongue: r.threshold for r in toxicity.best_thresholds(table, "tongue").collect()}
+        for t in "abc":
+            mine = [r for r in rows if r[0] == t]
+            assert got[t] == toxicity.best_threshold(np.array([r[1] for r in mine]), np.array([r[2] for r in mine], float))
