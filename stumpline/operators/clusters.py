@@ -22,6 +22,10 @@ from stumpline.operators import lloyd
 from stumpline.operators.stages import NearestCentre, ScaledProjection
 from stumpline.session import stored
 
+# Groups of tiles per core that the Euclidean silhouette deals its rows to, and bytes that a group's rows may take.
+GROUPS_PER_CORE = 2
+GROUP_BYTES = 1 << 28
+
 
 def _add(cols: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a + b, cols)
@@ -218,11 +222,18 @@ def silhouette(df: DataFrame, cols: Sequence[str], cluster: str = "cluster") ->
     return rows.agg(F.avg(score).alias("silhouette"))
 
 
+def silhouette_groups(rows: int, width: int, clusters: int, tiles: int, cores: int) -> int:
+    """Groups of tiles: some for each core, fewer if there are fewer tiles, and more where a group would hold more than ``GROUP_BYTES``."""
+    return max(1, min(tiles, max(GROUPS_PER_CORE * cores, -(-rows * (width + clusters) * 8 // GROUP_BYTES))))
+
+
 def silhouette_euclidean(df: DataFrame, cols: Sequence[str], cluster: str = "cluster", tile_rows: int = 2_048) -> DataFrame:
     """Mean silhouette with Euclidean distance, exact: the work grows with the square of the rows.
 
-    Rows are packed in tiles. A tile meets every tile, itself included, as matrices; what is kept are its rows' sums of
-    distances per cluster, so no pair of rows becomes a row, and a task holds two tiles and their distances. The
+    Rows are packed in tiles and these dealt to groups. A group holds its tiles and meets every tile, itself included, as
+    matrices; what is kept are its rows' sums of distances per cluster, so no pair of rows becomes a row, and a task holds
+    its group, one tile more and the distances of two tiles. A tile is shuffled once for each group, and the number of groups
+    does not grow with the rows until a group is large. The
     squared form (``silhouette``) needs one pass instead. A row without company in its cluster scores 0.
     """
     width = len(cols)
@@ -251,9 +262,12 @@ def silhouette_euclidean(df: DataFrame, cols: Sequence[str], cluster: str = "clu
     size = {r["c"]: r["n"] for r in rows.groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()}
     place = {c: i for i, c in enumerate(size)}
     many = np.array([float(n) for n in size.values()])
-    ids = tiles.agg(F.collect_list("tile").alias("tiles"))
-    met = with_scalars(tiles, ids).select(F.explode("tiles").alias("at"), F.lit(1).alias("kind"), "labels", "vectors")
-    line = met.unionByName(tiles.select(F.col("tile").alias("at"), F.lit(0).alias("kind"), "labels", "vectors"))
+    ids = [r[0] for r in tiles.select("tile").orderBy("tile").collect()]
+    groups = silhouette_groups(sum(size.values()), width, len(size), len(ids), df.sparkSession.sparkContext.defaultParallelism)
+    dealt = pa.table({"tile": pa.array(ids, pa.int64()), "at": pa.array([i % groups for i in range(len(ids))], pa.int32())})
+    own_tiles = tiles.join(F.broadcast(tiles.sparkSession.createDataFrame(dealt)), "tile").select("at", F.lit(0).alias("kind"), "labels", "vectors")
+    met = tiles.select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("at"), F.lit(1).alias("kind"), "labels", "vectors")
+    line = own_tiles.unionByName(met)
 
     def score(own: np.ndarray, total: np.ndarray) -> float:
         each = np.arange(len(own))
@@ -266,23 +280,27 @@ def silhouette_euclidean(df: DataFrame, cols: Sequence[str], cluster: str = "clu
         return float(np.where(able, (outside - inside) / np.where(able, top, 1), 0.0).sum())
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, x, own, total, result = None, np.zeros((0, width)), np.zeros(0, int), np.zeros((0, 0)), 0.0
+        at, own, result = None, [], 0.0  # own: vectors, squares, labels and totals of the tiles of the group
         for batch in batches:
             for here, kind, labels, vectors in zip(*(batch.column(c) for c in ("at", "kind", "labels", "vectors")), strict=True):
                 code = np.array([place[c] for c in labels.as_py()])
                 y = np.frombuffer(vectors.as_py()).reshape(-1, width)
+                if here.as_py() != at:
+                    result += sum(score(c, total) for *_, c, total in own)
+                    at, own = here.as_py(), []
                 if kind.as_py() == 0:
-                    result += score(own, total) if at is not None else 0.0
-                    at, x, own, total = here.as_py(), y, code, np.zeros((len(code), len(many)))
-                else:
-                    order = np.argsort(code, kind="stable")
-                    found, starts = np.unique(code[order], return_index=True)
-                    away = np.sqrt(np.maximum((x * x).sum(1)[:, None] - 2 * x @ y[order].T + (y[order] ** 2).sum(1), 0))
+                    own.append((y, (y * y).sum(1)[:, None], code, np.zeros((len(code), len(many)))))
+                    continue
+                order = np.argsort(code, kind="stable")
+                found, starts = np.unique(code[order], return_index=True)
+                other, square = y[order].T, (y[order] ** 2).sum(1)
+                for x, mine, _, total in own:
+                    away = np.sqrt(np.maximum(mine - 2 * x @ other + square, 0))
                     total[:, found] += np.add.reduceat(away, starts, axis=1)
-        result += score(own, total) if at is not None else 0.0
+        result += sum(score(c, total) for *_, c, total in own)
         yield pa.record_batch([pa.array([result])], names=["s"])
 
-    sums = line.repartition("at").sortWithinPartitions("at", "kind").mapInArrow(meet, "s double")
+    sums = line.repartitionById(groups, "at").sortWithinPartitions("at", "kind").mapInArrow(meet, "s double")
     return sums.agg((F.sum("s") / F.lit(float(many.sum()) or None)).alias("silhouette"))
 
 

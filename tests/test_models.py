@@ -325,3 +325,9 @@ def test_nearest_deliveries_of_many_requests_match_all_pairs(spark, hot):
             assert got[name] == min((abs(x[6] - rate) + abs(10 - x[7] - fallen), x[4]) for x in log)
     assert de.nearest_state(states.limit(0), requests).count() == 0
     assert de.nearest_state(states, requests.limit(0)).count() == 0
+
+
+def test_euclidean_groups_do_not_grow_with_the_rows():
+    assert cl.silhouette_groups(10_000, 64, 10, 12, 6) == cl.silhouette_groups(1_000_000, 64, 10, 500, 6) == 12
+    assert cl.silhouette_groups(100, 64, 10, 1, 6) == 1 and cl.silhouette_groups(0, 64, 0, 0, 6) == 1
+    assert cl.silhouette_groups(10_000_000, 64, 2_000, 5_000, 6) > 12
