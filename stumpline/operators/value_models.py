@@ -7,13 +7,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stumpline.functions.numeric import digamma, hyp2f1, log_gamma, trigamma
+from stumpline.operators import boosting
 from stumpline.operators.users import CHURN_FEATURES
 
 #: Value, gradient and curvature by natural parameters: arrays (rows,), (rows, p), (rows, p, p).
@@ -301,7 +301,7 @@ def train_churn_classifier(
     trees: int = 200,
     depth: int = 4,
     step: float = 0.05,
-) -> GBTClassificationModel:
+) -> boosting.BoostedTrees:
     """Boosted trees, churned users weighted by the ratio of the classes."""
     counts = df.agg(
         F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).alias("p"),
@@ -311,22 +311,18 @@ def train_churn_classifier(
         raise ValueError("both classes are needed")
     weight = counts["n"] / counts["p"]
     rows = churn_vectors(df, features).withColumn("_w", F.when(F.col(label) == 1, float(weight)).otherwise(1.0))
-    return GBTClassifier(
-        featuresCol="features", labelCol=label, weightCol="_w", maxIter=trees, maxDepth=depth, stepSize=step,
-        subsamplingRate=0.8, seed=42,
-    ).fit(rows)
+    return boosting.fit(rows, "features", label, "_w", trees, depth, step, rate=0.8)
 
 
 def churn_vectors(df: DataFrame, features: Sequence[str] = CHURN_FEATURES) -> DataFrame:
     filled = df.withColumns({f"_f_{f}": F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features})
     names = [f"_f_{f}" for f in features]
-    return VectorAssembler(inputCols=names, outputCol="features").transform(filled).drop(*names)
+    vectors = VectorAssembler(inputCols=names, outputCol="features").transform(filled).drop(*names)
+    return vectors.withColumn("features", vector_to_array("features"))
 
 
 def churn_probability(
-    df: DataFrame, model: GBTClassificationModel, features: Sequence[str] = CHURN_FEATURES
+    df: DataFrame, model: boosting.BoostedTrees, features: Sequence[str] = CHURN_FEATURES
 ) -> DataFrame:
     scored = model.transform(churn_vectors(df, features))
-    return scored.withColumn("churn_probability", vector_to_array("probability")[1]).drop(
-        "features", "rawPrediction", "probability", "prediction"
-    )
+    return scored.withColumnRenamed("probability", "churn_probability").drop("features", "prediction")
