@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from stumpline.functions.exprs import boundary_ball, clip, flag_sum
 from stumpline.functions.quantiles import with_scalars
 from stumpline.functions.scan import NO_HOT, Hot, Lag, Last, RowNumber, Running, Total, Trailing, hot_groups, hot_rows_limit, scan
+from stumpline.operators import boosting
 from stumpline.operators.state import INNINGS, delivery_order
 from stumpline.session import stored
 
@@ -179,14 +180,14 @@ def train_benefit_classifier(
     df = VectorAssembler(inputCols=list(STATE_COLUMNS), outputCol="features").transform(
         labelled.withColumn("_share", hash_share(*keys))
     )
-    common = {"featuresCol": "features", "labelCol": "sub_benefit"}
+    known = df.filter("_share < 0.7")
     if kind == "gbt":
-        learner = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=step, seed=42, **common)
+        arrays = known.withColumn("features", vector_to_array("features"))
+        model = boosting.fit(arrays, "features", "sub_benefit", trees=trees, depth=depth, step=step)
     else:
-        learner = LogisticRegression(maxIter=iterations, **common)
-    model = learner.fit(df.filter("_share < 0.7"))
-    if kind != "gbt" and model.summary.totalIterations >= iterations:
-        raise RuntimeError(f"the classifier has not converged after {iterations} iterations")
+        model = LogisticRegression(maxIter=iterations, featuresCol="features", labelCol="sub_benefit").fit(known)
+        if model.summary.totalIterations >= iterations:
+            raise RuntimeError(f"the classifier has not converged after {iterations} iterations")
     scored = score_classifier(model, df.filter("_share >= 0.7"))
     return model, scored.drop("features", "_share")
 
@@ -195,11 +196,14 @@ def score_classifier(model: object, df: DataFrame) -> DataFrame:
     """Add ``probability`` of the positive class and the 0/1 ``prediction``."""
     have = "features" in df.columns
     vectors = df if have else VectorAssembler(inputCols=list(STATE_COLUMNS), outputCol="features").transform(df)
-    out = model.transform(vectors).withColumn("probability", vector_to_array("probability")[1])
+    if isinstance(model, boosting.BoostedTrees):
+        out = model.transform(vectors.withColumn("features", vector_to_array("features")))
+    else:
+        out = model.transform(vectors).withColumn("probability", vector_to_array("probability")[1])
     return out.drop("rawPrediction", *([] if have else ["features"]))
 
 
-def feature_importance(df: DataFrame, model: GBTClassificationModel, features: Sequence[str]) -> DataFrame:
+def feature_importance(df: DataFrame, model: boosting.BoostedTrees, features: Sequence[str]) -> DataFrame:
     rows = [(f, float(v)) for f, v in zip(features, model.featureImportances.toArray(), strict=True)]
     return df.sparkSession.createDataFrame(rows, "feature string, importance double").orderBy(
         F.desc("importance"), "feature"

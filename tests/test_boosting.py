@@ -7,6 +7,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from stumpline.operators import boosting
+from stumpline.operators import decision as de
 
 
 @pytest.fixture
@@ -76,3 +77,17 @@ def test_wrong_rows_raise(spark):
             boosting.fit(spark.createDataFrame(bad, schema), "features", "y", trees=1)
     one = boosting.fit(spark.createDataFrame([([1.0], 1), ([2.0], 1)], schema), "features", "y", trees=3)
     assert one.value("importance") == [0.0]
+
+
+def test_benefit_classifier_takes_a_stage_a_tree(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = [(i, 1, 1 + i // 6, *x, int(x[0] + rng.normal() > 0)) for i, x in enumerate(rng.normal(size=(300, len(de.STATE_COLUMNS))).tolist())]
+    schema = "match_id long, innings int, over int, " + ", ".join(f"{c} double" for c in de.STATE_COLUMNS) + ", sub_benefit int"
+    calls = []
+    total = boosting._total
+    monkeypatch.setattr(boosting, "_total", lambda *a: calls.append(1) or total(*a))
+    model, scored = de.train_benefit_classifier(spark.createDataFrame(rows, schema), trees=5)
+    found = scored.collect()
+    assert len(calls) == 5 and found and all((r["probability"] > 0.5) == (r["prediction"] == 1) for r in found)
+    first = de.feature_importance(scored, model, de.STATE_COLUMNS).first()
+    assert first["feature"] == de.STATE_COLUMNS[0]
