@@ -35,6 +35,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def by_shuffle(df: DataFrame) -> DataFrame:
+    """``df`` for a join that is never a broadcast, whatever size Spark expects.
+
+    Spark sizes a table by its packed files and takes an explode to add no rows, so it may send to the driver what
+    is many times its threshold.
+    """
+    return df.hint("merge")
+
+
 def forget(df: DataFrame) -> None:
     """Delete the files of a table made by ``written`` that no later step reads."""
     jvm = df.sparkSession.sparkContext._jvm

@@ -7,6 +7,9 @@ than ``BUCKET`` fingerprints is not expanded into pairs: its members are indexed
 neighbours instead. Fingerprints with a common neighbour differ in two bits at most and any two that differ
 in one or two bits have one, so a star over each neighbour (at most 65 members) loses no link.
 
+Every join here is by shuffle: each fingerprint has 64 variants, far more rows than Spark expects of an explode,
+and a broadcast of them fills the driver.
+
 Null and empty texts have fingerprint zero. Fingerprints belong to texts, so repeated rows share one. A null
 doc_id never names a component unless all its ids are null.
 """
@@ -20,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stumpline.llm import bytescan
-from stumpline.llm.common import bounded_batches, per_batch, written
+from stumpline.llm.common import bounded_batches, by_shuffle, per_batch, written
 from stumpline.llm.graph import components
 
 WORDS = 3
@@ -88,16 +91,16 @@ def links(fps: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """Edges ``a``, ``b`` that connect exactly the distinct fingerprints at most two bits apart."""
     index = _variants(fps)
     shared = index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = written(index.join(shared, "key"), "variants")
+    members = written(index.join(by_shuffle(shared), "key"), "variants")
     few = members.filter(F.col("n") <= bucket).select("key", F.col("fp").alias("a"))
     other = few.select("key", F.col("a").alias("b"))
     apart = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    pairs = few.join(other, "key").filter((F.col("a") < F.col("b")) & (apart <= DISTANCE)).select("a", "b")
+    pairs = few.join(by_shuffle(other), "key").filter((F.col("a") < F.col("b")) & (apart <= DISTANCE)).select("a", "b")
     crowded = members.filter(F.col("n") > bucket).select("fp").distinct()
     flips = [F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit((1 << b) - (1 << 64) * (b == 63))) for b in range(64)]]
     around = crowded.select("fp", F.explode(F.array(*flips)).alias("middle"))
     centre = around.groupBy("middle").agg(F.min("fp").alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    star = around.join(centre.drop("n"), "middle").filter("fp <> b").select(F.col("fp").alias("a"), "b")
+    star = around.join(by_shuffle(centre.drop("n")), "middle").filter("fp <> b").select(F.col("fp").alias("a"), "b")
     return pairs.unionByName(star).distinct()
 
 
@@ -105,15 +108,15 @@ def component_ids(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """``fp``, ``root`` and ``component_id`` (smallest doc_id) of every distinct fingerprint."""
     each = written(prints.groupBy("fp").agg(F.min("doc_id").alias("lo")), "prints")
     roots = components(links(each.select("fp"), bucket)).withColumnRenamed("node", "fp")
-    each = each.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    each = each.join(by_shuffle(roots), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     ids = each.groupBy("root").agg(F.min("lo").alias("component_id"))
-    return written(each.join(ids, "root").select("fp", "root", "component_id"), "components")
+    return written(each.join(by_shuffle(ids), "root").select("fp", "root", "component_id"), "components")
 
 
 def near_duplicates(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id`` of every row."""
     prints = fingerprints(docs)
-    found = prints.join(component_ids(prints, bucket), "fp")
+    found = prints.join(by_shuffle(component_ids(prints, bucket)), "fp")
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 

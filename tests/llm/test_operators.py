@@ -72,6 +72,19 @@ def test_simhash_keeps_one_of_each_group_and_all_columns(docs):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted(ids)
 
 
+def test_near_duplicates_broadcast_no_table(docs, monkeypatch):
+    plans, plan = [], lambda df: df._jdf.queryExecution().executedPlan().toString()
+
+    def noted(df, name, written=simhash.written):
+        plans.append(plan(df))
+        return written(df, name)
+
+    monkeypatch.setattr(simhash, "written", noted)
+    for bucket in (1, 32):
+        plans.append(plan(simhash.near_duplicates(docs, bucket)))
+    assert sum("Join" in p for p in plans) >= 6 and not [p for p in plans if "Broadcast" in p]
+
+
 def test_decontamination_matches_a_plain_search(spark, docs, texts):
     item = texts[1]
     items = [(1, item), (2, "be"), (3, None), (4, "..."), (10, item), (None, "the")]
