@@ -129,13 +129,13 @@ def keep_one(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     roots = component_ids(prints, bucket).select("fp", "root")
     rows = prints.groupBy("fp", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
     order = F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "text_hash", "n")
-    best = rows.join(roots, "fp").groupBy("root").agg(F.min(order).alias("r"))
+    best = rows.join(by_shuffle(roots), "fp").groupBy("root").agg(F.min(order).alias("r"))
     # Names that no column of the documents is expected to have.
     kept_id, kept_hash, many = (f"__stumpline_{name}" for name in ("id", "hash", "many"))
     best = written(best.select(F.col("r.doc_id").alias(kept_id), F.col("r.text_hash").alias(kept_hash), F.col("r.n").alias(many)), "kept")
     same = F.col("doc_id").cast("long").eqNullSafe(F.col(kept_id)) & (F.xxhash64("text") == F.col(kept_hash))
-    once = docs.join(best.filter(F.col(many) == 1), same, "left_semi")
+    once = docs.join(by_shuffle(best.filter(F.col(many) == 1)), same, "left_semi")
     repeated = best.filter(F.col(many) > 1)
     if repeated.isEmpty():
         return once
-    return once.unionByName(docs.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"]))
+    return once.unionByName(docs.join(by_shuffle(repeated), same, "left_semi").dropDuplicates(["doc_id", "text"]))

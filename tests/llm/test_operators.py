@@ -82,6 +82,8 @@ def test_near_duplicates_broadcast_no_table(docs, monkeypatch):
     monkeypatch.setattr(simhash, "written", noted)
     for bucket in (1, 32):
         plans.append(plan(simhash.near_duplicates(docs, bucket)))
+    plans.append(plan(simhash.keep_one(docs)))
+    plans.append(plan(simhash.keep_one(docs.unionByName(docs))))
     assert sum("Join" in p for p in plans) >= 6 and not [p for p in plans if "Broadcast" in p]
 
 
@@ -155,6 +157,13 @@ def test_packing_round_trip(docs, texts):
     assert max(at.values()) <= 4096 and len(at) <= math.ceil(sum(at.values()) / 4096) + 1
 
 
+def test_many_counts_are_not_broadcast_and_give_the_same(docs, monkeypatch):
+    want = sorted(packing.pack(docs).collect())
+    monkeypatch.setattr(packing, "MAX_BROADCAST_ROWS", 0)
+    got = packing.pack(docs)
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString() and sorted(got.collect()) == want
+
+
 def test_parts_are_tokenised_as_the_whole_text():
     from public_tokenizers import path
 
