@@ -15,6 +15,8 @@ from stumpline.session import shared_folder
 #: Arrow batches hold at most so many rows and bytes, so that long texts do not add up in a worker.
 BATCH_ROWS = 1_000
 BATCH_BYTES = "16m"
+#: Counted tables with more rows are never broadcast.
+MAX_BROADCAST_ROWS = 200_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +46,11 @@ def by_shuffle(df: DataFrame) -> DataFrame:
     return df.hint("merge")
 
 
+def by_rows(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, known to have ``rows`` rows, for a join that is by shuffle if they are too many for a broadcast."""
+    return by_shuffle(df) if rows > MAX_BROADCAST_ROWS else df
+
+
 def forget(df: DataFrame) -> None:
     """Delete the files of a table made by ``written`` that no later step reads."""
     jvm = df.sparkSession.sparkContext._jvm

@@ -27,15 +27,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stumpline.llm.common import bounded_batches, by_shuffle, written
+from stumpline.llm.common import bounded_batches, by_rows, written
 
 CAPACITY = 4096
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 #: Words whose ids a worker remembers.
 REMEMBERED = 800_000
-#: More counts of (length, task) are joined by a shuffle; their file is too small for Spark to tell.
-MAX_BROADCAST_ROWS = 200_000
 
 
 #: Between an ASCII letter or digit and an ASCII sign other than the apostrophe, tokens never join.
@@ -212,8 +210,8 @@ def pack(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY)
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     base = counts.select("length", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     counted = counts.groupBy("length").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("tasks")).collect()
-    if sum(r.tasks for r in counted) > MAX_BROADCAST_ROWS:
-        base = by_shuffle(base)
+    # Their file has few bytes a row, so that Spark takes many for small.
+    base = by_rows(base, sum(r.tasks for r in counted))
     histogram = {r.length: r.n for r in counted}
     slots = spark.sparkContext.broadcast(_slots(patterns(histogram, capacity)))
 

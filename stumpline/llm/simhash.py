@@ -7,8 +7,8 @@ than ``BUCKET`` fingerprints is not expanded into pairs: its members are indexed
 neighbours instead. Fingerprints with a common neighbour differ in two bits at most and any two that differ
 in one or two bits have one, so a star over each neighbour (at most 65 members) loses no link.
 
-Every join here is by shuffle: each fingerprint has 64 variants, far more rows than Spark expects of an explode,
-and a broadcast of them fills the driver.
+Joins of fingerprints are by shuffle: each has 64 variants, far more rows than Spark expects of an explode, and
+a broadcast of them fills the driver.
 
 Null and empty texts have fingerprint zero. Fingerprints belong to texts, so repeated rows share one. A null
 doc_id never names a component unless all its ids are null.
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stumpline.llm import bytescan
-from stumpline.llm.common import bounded_batches, by_shuffle, per_batch, written
+from stumpline.llm.common import bounded_batches, by_rows, by_shuffle, per_batch, written
 from stumpline.llm.graph import components
 
 WORDS = 3
@@ -134,8 +134,9 @@ def keep_one(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     kept_id, kept_hash, many = (f"__stumpline_{name}" for name in ("id", "hash", "many"))
     best = written(best.select(F.col("r.doc_id").alias(kept_id), F.col("r.text_hash").alias(kept_hash), F.col("r.n").alias(many)), "kept")
     same = F.col("doc_id").cast("long").eqNullSafe(F.col(kept_id)) & (F.xxhash64("text") == F.col(kept_hash))
-    once = docs.join(by_shuffle(best.filter(F.col(many) == 1)), same, "left_semi")
-    repeated = best.filter(F.col(many) > 1)
-    if repeated.isEmpty():
+    one = F.col(many) == 1
+    groups = best.agg(F.count_if(one).alias("single"), F.count_if(~one).alias("repeated")).first()
+    once = docs.join(by_rows(best.filter(one), groups.single), same, "left_semi")
+    if not groups.repeated:
         return once
-    return once.unionByName(docs.join(by_shuffle(repeated), same, "left_semi").dropDuplicates(["doc_id", "text"]))
+    return once.unionByName(docs.join(by_rows(best.filter(~one), groups.repeated), same, "left_semi").dropDuplicates(["doc_id", "text"]))

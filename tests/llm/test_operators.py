@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from stumpline.llm import bytescan, decontaminate, graph, language_model, lines, packing, quality, sharding, simhash, spotsigs, toxicity, warc
+from stumpline.llm import bytescan, common, decontaminate, graph, language_model, lines, packing, quality, sharding, simhash, spotsigs, toxicity, warc
 from stumpline.llm.common import labelled_sample, remainder
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp string, n long"
@@ -80,6 +80,7 @@ def test_near_duplicates_broadcast_no_table(docs, monkeypatch):
         return written(df, name)
 
     monkeypatch.setattr(simhash, "written", noted)
+    monkeypatch.setattr(common, "MAX_BROADCAST_ROWS", -1)
     for bucket in (1, 32):
         plans.append(plan(simhash.near_duplicates(docs, bucket)))
     plans.append(plan(simhash.keep_one(docs)))
@@ -159,7 +160,7 @@ def test_packing_round_trip(docs, texts):
 
 def test_many_counts_are_not_broadcast_and_give_the_same(docs, monkeypatch):
     want = sorted(packing.pack(docs).collect())
-    monkeypatch.setattr(packing, "MAX_BROADCAST_ROWS", 0)
+    monkeypatch.setattr(common, "MAX_BROADCAST_ROWS", 0)
     got = packing.pack(docs)
     assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString() and sorted(got.collect()) == want
 
